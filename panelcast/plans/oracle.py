@@ -459,4 +459,6 @@ SQL: dict[str, str] = {
     "event_trace": W(f"""SELECT r.event_id, substring(r.districts, 1, 200) AS list_prefix, r.pos, r.part, {title('r.part')} AS normalized, r.entity,
         r.entity IN (SELECT entity FROM dom) AS in_domain
         FROM recs r WHERE year(r.start_date) = {C.TRACE_YEAR} AND contains(lower(r.districts), '{C.TRACE_NEEDLE}')"""),
+    "csv_roundtrip": W(f"SELECT event_id, start_date, state, districts, {R('severity', 'severity')} FROM ev"),
+    "default_columns": W(f"SELECT entity, year, month, {R('severity', 'severity')}, 0.0::DOUBLE AS duration, NULL::DOUBLE AS area_affected FROM up"),
 }

@@ -1 +1,174 @@
-"""Queries checked on rows and invariants only (sinks, scans, models)."""
+"""Registered queries for sources, sinks, reports and models.
+
+Sinks write under the shared checkpoint folder and read the result back.  Model
+fits are checked on rows and invariants (Spark ML trees are not the published
+learner, so equal scores are not promised).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+from panelcast.operators import metrics as mx
+from panelcast.operators import models as ml
+from panelcast.operators import splits as sx
+from panelcast.plans import panel as pp
+from panelcast.plans import targets as tg
+from panelcast.plans.catalog import N_SPLITS, r6, register
+from panelcast.session import scratch_path
+from panelcast.sources import files as fs
+from panelcast.sources import tables as tb
+
+SENTINELS = ("NA", "N/A", "None")
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, d):
+    """Write the event inventory as headed CSV (blank key header, textual null
+    markers), read it back as text and re-type it."""
+    ev = tb.event_inventory(spark, d)
+    marker = F.element_at(F.array(*[F.lit(s) for s in SENTINELS]), (F.col("event_id") % 3 + 1).cast("int"))
+    out = ev.select(F.col("event_id").alias(""), "date_text", "state", "districts",
+                    F.coalesce(F.col("severity").cast("string"), marker).alias("severity"))
+    path = scratch_path(spark, "csv")
+    fs.write_headed_csv(out, path)
+    back = fs.read_headed_csv(spark, path, key_name="event_id", sentinel_cols=["severity", "districts", "state"])
+    from panelcast.functions.text import coerce_numeric, parse_day_first
+    return r6(back.select(F.col("event_id").cast("bigint").alias("event_id"),
+                          parse_day_first("date_text").alias("start_date"), "state", "districts",
+                          coerce_numeric("severity").alias("severity")))
+
+
+@register("default_columns")
+def q_default_columns(spark, d):
+    spec, inp = pp.analogue_spec(), pp.analogue_inputs(spark, d)
+    up = pp.upserted_panel(inp, spec).drop("duration")
+    out = fs.ensure_columns(up, {"duration": 0.0, "severity": 0.0, "area_affected": (None, "double")})
+    return r6(out.select("entity", "year", "month", "severity", "duration", "area_affected"))
+
+
+@register("panel_sink")
+def q_panel_sink(spark, d):
+    path = scratch_path(spark, "panel")
+    fs.write_panel(pp.analogue_panel(spark, d), path)
+    return fs.read_panel(spark, path)
+
+
+@register("jsonl_scan")
+def q_jsonl_scan(spark, d):
+    """Event properties as JSON lines (error events written truncated, i.e. malformed);
+    read back dropping malformed lines, with the key list of each object."""
+    e = tb.read(spark, d, "events")
+    line = F.when(F.col("event_type") == "error", F.expr("substring(props, 1, length(props) - 1)")).otherwise(F.col("props"))
+    rec = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "properties": '), line, F.lit("}"))
+    path = scratch_path(spark, "jsonl")
+    e.select(rec.alias("value")).write.mode("overwrite").text(path)
+    back = fs.read_json_lines(spark, path, "event_id long, properties struct<k:long>")
+    return back.select("event_id", "properties.k",
+                       F.json_object_keys(F.to_json("properties")).alias("property_keys"))
+
+
+def _fold_scores(spark, d, max_iter=10):
+    t = tg.targets_final(pp.analogue_panel(spark, d))
+    feats, cols = ml.feature_frame(t)
+    idx = sx.global_row_index(feats, ["date", "entity"]).persist()
+    n = idx.count()
+    return idx, n, cols
+
+
+@register("report_write")
+def q_report_write(spark, d):
+    """Nested report (classifier folds, regressor folds, dataset facts) written as JSON
+    and read back."""
+    s = _scored_orders_frame(spark, d)
+    cls = mx.roc_auc(s, "fold", "score", "label").join(mx.pr_auc(s, "fold", "score", "label"), "fold")
+    reg = mx.regression_metrics(s, "fold", "y_true", "y_pred")
+    summ = mx.fold_summary(cls, reg).first()
+    rep = (cls.agg(F.sort_array(F.collect_list(F.struct("fold", "roc_auc", "pr_auc"))).alias("c"))
+           .join(reg.agg(F.sort_array(F.collect_list(F.struct("fold", "mae", "rmse", "mape", "n_val"))).alias("r")))
+           .select(F.struct(F.lit(summ["avg_roc_auc"]).alias("avg_roc_auc"), F.lit(summ["avg_pr_auc"]).alias("avg_pr_auc"),
+                            F.lit(summ["n_valid_folds"]).alias("n_valid_folds"), F.col("c").alias("fold_scores")).alias("classifier"),
+                   F.struct(F.lit(summ["avg_mae"]).alias("avg_mae"), F.lit(summ["median_mae"]).alias("median_mae"),
+                            F.lit(summ["avg_mape"]).cast(DoubleType()).alias("avg_mape"),
+                            F.lit(summ["n_folds_used"]).alias("n_folds_used"), F.col("r").alias("fold_scores")).alias("regressor")))
+    path = scratch_path(spark, "report")
+    fs.write_report(rep, path)
+    return fs.read_report(spark, path, rep.schema)
+
+
+def _scored_orders_frame(spark, d):
+    from panelcast.plans.catalog import _scored_orders
+    return _scored_orders(spark, d)
+
+
+@register("report_read")
+def q_report_read(spark, d):
+    """Read a written report; nested fields with defaults, formatted for display.
+    A missing report reads as an empty frame."""
+    rep = q_report_write(spark, d)
+    fmt = lambda c: F.coalesce(F.format_number(c, 2), F.lit("N/A"))
+    pct = lambda c: F.coalesce(F.concat(F.format_number(c * 100, 1), F.lit("%")), F.lit("N/A"))
+    missing = fs.read_report(spark, scratch_path(spark, "absent"), rep.schema)
+    return rep.unionByName(missing).select(fmt(F.col("classifier.avg_roc_auc")).alias("roc_auc_text"),
+                                           fmt(F.col("classifier.avg_pr_auc")).alias("pr_auc_text"),
+                                           pct(F.col("regressor.avg_mape")).alias("mape_text"))
+
+
+@register("profile_summary")
+def q_profile_summary(spark, d):
+    p = pp.analogue_panel(spark, d)
+    return p.select("flood_occurrence", "resource_demand_score", "severity", "dfsi", "census_population").summary(
+        "count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
+
+
+@register("feature_vector")
+def q_feature_vector(spark, d):
+    t = tg.targets_final(pp.analogue_panel(spark, d))
+    feats, cols = ml.feature_frame(t)
+    return feats.select("entity", "date", "features", F.lit(len(cols)).alias("n_features"))
+
+
+@register("gbt_classifier")
+def q_gbt_classifier(spark, d):
+    idx, n, _ = _fold_scores(spark, d)
+    scores, _ = ml.fit_classifier_folds(idx, n, N_SPLITS)
+    return spark.createDataFrame(scores, ml.CLS_SCHEMA)
+
+
+@register("gbt_regressor")
+def q_gbt_regressor(spark, d):
+    t = tg.targets_final(pp.analogue_panel(spark, d))
+    feats, _ = ml.feature_frame(t)
+    scores, _ = ml.fit_regressor_folds(feats.where(F.col("demand_target") > 0))
+    return spark.createDataFrame(scores, ml.REG_SCHEMA)
+
+
+@register("seasonal_regression")
+def q_seasonal_regression(spark, d):
+    t = tg.targets_final(pp.analogue_panel(spark, d))
+    return r6(ml.seasonal_evaluate(t))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, d):
+    idx, n, cols = _fold_scores(spark, d)
+    _, models = ml.fit_classifier_folds(idx, n, N_SPLITS)
+    pairs = ml.feature_importance(models[0], cols) if models else []
+    return spark.createDataFrame(pairs, "feature string, importance double")
+
+
+@register("flat_forecast")
+def q_flat_forecast(spark, d):
+    idx, n, cols = _fold_scores(spark, d)
+    _, models = ml.fit_classifier_folds(idx, n, N_SPLITS)
+    last = idx.where(F.col("row_idx") == n - 1)
+    return ml.flat_forecast(models[0], last, 12)
+
+
+@register("model_package")
+def q_model_package(spark, d):
+    idx, n, cols = _fold_scores(spark, d)
+    model = ml.package(idx.drop("features"), cols, "flood_event", scratch_path(spark, "model"))
+    scored = model.transform(idx.drop("features")).select("flood_event", "prediction")
+    return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), F.sum("flood_event").alias("positives"))
