@@ -89,15 +89,20 @@ up AS (
   FROM cal c LEFT JOIN cellagg a ON c.entity = a.entity AND c.year = a.year AND c.month = a.month
 ),
 idx AS (SELECT {canon('_c0')} AS entity, dfsi FROM (SELECT {label('s_suppkey')} AS _c0, s_acctbal / 1000.0 AS dfsi FROM supplier)),
+lst AS (
+  SELECT l_suppkey, l_returnflag, count(*) AS n_lines, sum(l_discount) AS sum_discount, sum(l_tax) AS sum_tax,
+         sum(l_quantity) AS sum_quantity, count(*) FILTER (WHERE l_discount < 0.05) AS n_low_discount
+  FROM lineitem GROUP BY l_suppkey, l_returnflag
+),
 area AS (
   SELECT {canon('dist_name')} AS entity, percent_flooded_area, corrected_flooded_area
-  FROM (SELECT {label('l_suppkey')} AS dist_name, avg(l_discount) * 100.0 AS percent_flooded_area,
-               avg(l_tax) * 100.0 AS corrected_flooded_area FROM lineitem GROUP BY l_suppkey)
+  FROM (SELECT {label('l_suppkey')} AS dist_name, sum(sum_discount) / sum(n_lines) * 100.0 AS percent_flooded_area,
+               sum(sum_tax) / sum(n_lines) * 100.0 AS corrected_flooded_area FROM lst GROUP BY l_suppkey)
 ),
 imp_src AS (
-  SELECT {label('l_suppkey')} AS dist_name, CAST(count(*) * 100 AS DOUBLE) AS population,
-         avg(l_quantity) / 10.0 AS mean_flood_duration
-  FROM lineitem
+  SELECT {label('l_suppkey')} AS dist_name, CAST(sum(n_lines) * 100 AS DOUBLE) AS population,
+         sum(sum_quantity) / sum(n_lines) / 10.0 AS mean_flood_duration
+  FROM lst
   WHERE l_suppkey IN (SELECT s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey
                       JOIN region ON n_regionkey = r_regionkey WHERE regexp_matches(r_name, '{T.IMPACT_REGION_PATTERN}'))
   GROUP BY l_suppkey
@@ -108,10 +113,9 @@ cen_src AS (
          CASE l_returnflag WHEN 'A' THEN lower({label('l_suppkey')})
                            WHEN 'N' THEN ' ' || {label('l_suppkey')} || ' '
                            ELSE {label('l_suppkey')} END AS district_name,
-         count(*) * 1000 AS population, count(*) * 200 AS households,
-         count(*) FILTER (WHERE l_discount < 0.05) * 200 AS rural_households,
-         (count(*) - count(*) FILTER (WHERE l_discount < 0.05)) * 200 AS urban_households
-  FROM lineitem GROUP BY l_suppkey, l_returnflag
+         n_lines * 1000 AS population, n_lines * 200 AS households,
+         n_low_discount * 200 AS rural_households, (n_lines - n_low_discount) * 200 AS urban_households
+  FROM lst
 ),
 cen AS (
   SELECT lower({strip('district_name')}) AS _key,

@@ -29,7 +29,12 @@ def _clip(c, lo=None, hi=None):
     return F.when(c.isNotNull(), out)  # null stays null
 
 
-def _population(panel: DataFrame, accuracy: int = 100000):
+def _population(panel: DataFrame, n_missing: int | None = None, accuracy: int = 100000):
+    """Population with missing values at the median (skipped when none is missing)."""
+    if n_missing is None:
+        n_missing = panel.agg(F.count_if(F.col("census_population").isNull())).first()[0]
+    if not n_missing:
+        return F.col("census_population")
     med = exact_medians(panel, ["census_population"], accuracy)["census_population"]
     return F.coalesce(F.col("census_population"), F.lit(med).cast("double"))
 
@@ -39,9 +44,10 @@ def targets_final(panel: DataFrame) -> DataFrame:
     + .25 index/max, 0, .3); quantities per norm; composite and its log1p (taken
     before non-event months are zeroed); binary event label."""
     mx = panel.agg(F.max(F.coalesce("severity", F.lit(0.0))).alias("sev"),
-                   F.max("corrected_flooded_area").alias("area"), F.max("dfsi").alias("dfsi")).first()
+                   F.max("corrected_flooded_area").alias("area"), F.max("dfsi").alias("dfsi"),
+                   F.count_if(F.col("census_population").isNull()).alias("pop_missing")).first()
     floor1 = lambda v: max(v, 1.0) if v is not None else None
-    pop = _population(panel)
+    pop = _population(panel, mx["pop_missing"])
     sev_n = F.coalesce("severity", F.lit(0.0)) / F.lit(floor1(mx["sev"]))
     disp_f = F.coalesce("displaced", F.lit(0.0)) / _clip(pop, 1.0)
     area_n = F.coalesce("corrected_flooded_area", F.lit(0.0)) / F.lit(floor1(mx["area"]))

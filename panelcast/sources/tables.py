@@ -84,12 +84,24 @@ def index_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(place_label(F.col("s_suppkey")).alias("_c0"), (F.col("s_acctbal") / 1000.0).alias("dfsi"))
 
 
+def line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One partial aggregate of the line items per (supplier, return flag).  The
+    area, impact and census sources are all derived from it, so within one plan the
+    largest table is scanned and shuffled once (the identical exchange is reused)."""
+    li = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_returnflag", "l_discount", "l_tax", "l_quantity")
+    return (li.groupBy("l_suppkey", "l_returnflag")
+            .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_discount").alias("sum_discount"),
+                 F.sum("l_tax").alias("sum_tax"), F.sum("l_quantity").alias("sum_quantity"),
+                 F.count_if(F.col("l_discount") < 0.05).alias("n_low_discount")))
+
+
 def area_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flooded-area table keyed by ``dist_name`` (one partial aggregate over line items)."""
-    li = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_discount", "l_tax")
-    return (li.groupBy("l_suppkey")
-            .agg((F.avg("l_discount") * 100.0).alias("percent_flooded_area"),
-                 (F.avg("l_tax") * 100.0).alias("corrected_flooded_area"))
+    """Flooded-area table keyed by ``dist_name``: 100 x mean discount and tax."""
+    st = line_stats(spark, sf_dir)
+    n = F.sum("n_lines")
+    return (st.groupBy("l_suppkey")
+            .agg((F.sum("sum_discount") / n * 100.0).alias("percent_flooded_area"),
+                 (F.sum("sum_tax") / n * 100.0).alias("corrected_flooded_area"))
             .select(place_label(F.col("l_suppkey")).alias("dist_name"),
                     "percent_flooded_area", "corrected_flooded_area"))
 
@@ -97,7 +109,6 @@ def area_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def impact_source(spark: SparkSession, sf_dir: str,
                   region_pattern: str = IMPACT_REGION_PATTERN) -> DataFrame:
     """Impact table (population, mean duration) for suppliers of the covered regions."""
-    li = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity")
     s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = read(spark, sf_dir, "nation")
     r = read(spark, sf_dir, "region")
@@ -105,25 +116,23 @@ def impact_source(spark: SparkSession, sf_dir: str,
                .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
                .where(F.coalesce(F.col("r_name").rlike(region_pattern), F.lit(False)))
                .select(F.col("s_suppkey").alias("l_suppkey")))
-    return (li.join(covered, "l_suppkey", "left_semi").groupBy("l_suppkey")
-            .agg((F.count(F.lit(1)) * 100).cast("double").alias("population"),
-                 (F.avg("l_quantity") / 10.0).alias("mean_flood_duration"))
+    st = line_stats(spark, sf_dir)
+    return (st.join(covered, "l_suppkey", "left_semi").groupBy("l_suppkey")
+            .agg((F.sum("n_lines") * 100).cast("double").alias("population"),
+                 (F.sum("sum_quantity") / F.sum("n_lines") / 10.0).alias("mean_flood_duration"))
             .select(place_label(F.col("l_suppkey")).alias("dist_name"), "population", "mean_flood_duration"))
 
 
 def census_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Census rows, several per place (one per return flag) with differing case and
     padding; ``row_seq`` is the file order (later rows win on a case-insensitive match)."""
-    li = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_returnflag", "l_discount")
+    st = line_stats(spark, sf_dir)
     label = place_label(F.col("l_suppkey"))
     name = (F.when(F.col("l_returnflag") == "A", F.lower(label))
             .when(F.col("l_returnflag") == "N", F.concat(F.lit(" "), label, F.lit(" ")))
             .otherwise(label))
-    cnt = F.count(F.lit(1))
-    rural = F.count_if(F.col("l_discount") < 0.05)
-    return (li.groupBy("l_suppkey", "l_returnflag")
-            .agg((cnt * 1000).alias("population"), (cnt * 200).alias("households"),
-                 (rural * 200).alias("rural_households"), ((cnt - rural) * 200).alias("urban_households"))
-            .select((F.col("l_suppkey") * 1000 + F.ascii("l_returnflag")).cast("bigint").alias("row_seq"),
-                    name.alias("district_name"), "population", "households",
-                    "rural_households", "urban_households"))
+    cnt, low = F.col("n_lines"), F.col("n_low_discount")
+    return st.select((F.col("l_suppkey") * 1000 + F.ascii("l_returnflag")).cast("bigint").alias("row_seq"),
+                     name.alias("district_name"), (cnt * 1000).alias("population"),
+                     (cnt * 200).alias("households"), (low * 200).alias("rural_households"),
+                     ((cnt - low) * 200).alias("urban_households"))
