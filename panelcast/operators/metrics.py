@@ -39,8 +39,8 @@ def pr_auc(df: DataFrame, group: str, score: str, label: str, bins: int | None =
     cum = wd.rowsBetween(Window.unboundedPreceding, 0)
     a = (agg.withColumn("_ctp", F.sum("_tp").over(cum)).withColumn("_cn", F.sum("_n").over(cum))
          .withColumn("_P", F.sum("_tp").over(Window.partitionBy(group))))
-    a = (a.withColumn("_rec", F.col("_ctp") / F.col("_P"))
-         .withColumn("_pre", F.col("_ctp") / F.col("_cn")))
+    a = (a.withColumn("_rec", F.try_divide(F.col("_ctp"), F.col("_P")))
+         .withColumn("_pre", F.try_divide(F.col("_ctp"), F.col("_cn"))))
     a = (a.withColumn("_rec0", F.coalesce(F.lag("_rec").over(wd), F.lit(0.0)))
          .withColumn("_pre0", F.coalesce(F.lag("_pre").over(wd), F.lit(1.0))))
     area = F.sum((F.col("_rec") - F.col("_rec0")) * (F.col("_pre") + F.col("_pre0")) / 2.0)
