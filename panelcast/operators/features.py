@@ -54,11 +54,15 @@ def add_calendar_features(panel: DataFrame) -> DataFrame:
             .withColumn("month_cos", month_cos("month")))
 
 
-def add_exposure(panel: DataFrame) -> DataFrame:
-    """Exposed population and population x severity (before any imputation)."""
+def add_exposure(panel: DataFrame, spec: PanelSpec | None = None, leak_free: bool = False) -> DataFrame:
+    """Exposed population and population x severity (before any imputation).  With
+    ``leak_free`` the interaction uses the previous month's severity."""
+    sev = F.col("severity")
+    if leak_free:
+        sev = F.coalesce(F.lag("severity", 1).over(_w(spec or PanelSpec())), F.lit(0.0))
     return (panel.withColumn("flood_exposed_pop",
                              F.col("census_population") * (F.coalesce("corrected_flooded_area", F.lit(0.0)) / 100.0))
-            .withColumn("pop_x_flood_severity", F.col("census_population") * F.col("severity") / 100000.0))
+            .withColumn("pop_x_flood_severity", F.col("census_population") * sev / 100000.0))
 
 
 def demand_score(occ="flood_occurrence", sev="severity", disp="displaced", fat="fatalities") -> F.Column:

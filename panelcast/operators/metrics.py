@@ -97,6 +97,7 @@ def fold_summary(cls: DataFrame, reg: DataFrame) -> DataFrame:
                 F.coalesce(F.median(F.when(F.col("mae") > 0, F.col("mae"))), F.lit(0.0)).alias("median_mae"),
                 F.stddev_pop(F.when(F.col("mae") > 0, F.col("mae"))).alias("std_mae"),
                 F.avg(m_ok).alias("avg_mape"), F.median(m_ok).alias("median_mape"),
+                F.avg(F.when(F.col("mape").isNotNull() & ~F.isnan("mape"), F.col("mape"))).alias("avg_mape_all"),
                 F.min(m_ok).alias("best_fold_mape"),
                 F.count_if(F.col("mae") > 0).alias("n_folds_used"))
     one = F.lit(1).alias("_one")  # both sides are single-row aggregates

@@ -273,7 +273,8 @@ def q_positive_rows_summary(spark, d):
     t = tg.targets_final(pp.analogue_panel(spark, d))
     return r6(t.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("flood_event").alias("event_rate"),
                     F.count_if(F.col("demand_target") > 0).alias("n_positive_demand"),
-                    F.avg(F.when(F.col("demand_target") > 0, F.col("demand_target"))).alias("mean_positive_demand")))
+                    F.avg(F.when(F.col("demand_target") > 0, F.col("demand_target"))).alias("mean_positive_demand"),
+                    F.avg(F.when(F.col("flood_event") == 1, F.col("affected_capped").cast("double"))).alias("saturation_rate")))
 
 
 @register("label_encode")

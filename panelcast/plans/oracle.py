@@ -190,7 +190,7 @@ tf0 AS (
          + dfsi / dfsi_max * 0.25 AS frac_raw
   FROM panel p, tmax
 ),
-tf1 AS (SELECT *, coalesce(pop * least(greatest(frac_raw, 0.0), 0.3), 0.0) AS aff FROM tf0),
+tf1 AS (SELECT *, coalesce(pop * least(greatest(frac_raw, 0.0), 0.3), 0.0) AS aff, coalesce(frac_raw >= 0.3, false) AS affected_capped FROM tf0),
 tf2 AS (SELECT *, aff / 1000.0 AS k, aff * 0.2 AS o, aff / 5.0 AS t, aff * 15.0 * 30.0 AS w, aff * 12.0 AS r FROM tf1),
 tf3 AS (SELECT *, k * 0.2 + o / 10.0 * 0.15 + t * 0.2 + w / 1000.0 * 0.2 + r * 0.25 AS comp FROM tf2),
 tfin AS (
@@ -359,10 +359,10 @@ SQL: dict[str, str] = {
     "cyclic_month": W(f"SELECT entity, year, month, {R('sin(2 * pi() * month / 12.0)', 'month_sin')}, {R('cos(2 * pi() * month / 12.0)', 'month_cos')} FROM cal"),
     "exposure_interaction": W(f"SELECT entity, year, month, {R('flood_exposed_pop', 'flood_exposed_pop')}, {R('pop_x_flood_severity', 'pop_x_flood_severity')} FROM raw"),
     "demand_score": W(f"SELECT entity, year, month, {R('resource_demand_score', 'resource_demand_score')} FROM raw"),
-    "demand_norms_final": W(f"SELECT entity, year, month, {sel(['medical_kits_demand', 'ors_demand', 'tarpaulin_demand', 'water_demand_l', 'rations_demand_kg', 'demand_target', 'demand_log'], ['medical_kits_demand', 'ors_demand', 'tarpaulin_demand', 'water_demand_l', 'rations_demand_kg', 'demand_target', 'demand_log'])}, flood_event FROM tfin", TARGETS),
+    "demand_norms_final": W(f"SELECT entity, year, month, {sel(['medical_kits_demand', 'ors_demand', 'tarpaulin_demand', 'water_demand_l', 'rations_demand_kg', 'demand_target', 'demand_log'], ['medical_kits_demand', 'ors_demand', 'tarpaulin_demand', 'water_demand_l', 'rations_demand_kg', 'demand_target', 'demand_log'])}, flood_event, affected_capped FROM tfin", TARGETS),
     "demand_norms_v2": W(f"SELECT entity, year, month, {sel(['medical_kits', 'ors_packets', 'tarpaulin_sheets', 'water_litres', 'dry_rations_kg', 'composite_demand'], ['medical_kits', 'ors_packets', 'tarpaulin_sheets', 'water_litres', 'dry_rations_kg', 'composite_demand'])}, CAST(coalesce(composite_demand > 0, false) AS INTEGER) AS flood_event_v2 FROM vfin", TARGETS),
     "label_binary": W("SELECT entity, year, month, flood_event, CAST(coalesce(composite_demand > 0, false) AS INTEGER) AS flood_event_v2 FROM vfin", TARGETS),
-    "positive_rows_summary": W(f"SELECT count(*) AS n_rows, {R('avg(flood_event)', 'event_rate')}, count(*) FILTER (WHERE demand_target > 0) AS n_positive_demand, {R('avg(CASE WHEN demand_target > 0 THEN demand_target END)', 'mean_positive_demand')} FROM tfin", TARGETS),
+    "positive_rows_summary": W(f"SELECT count(*) AS n_rows, {R('avg(flood_event)', 'event_rate')}, count(*) FILTER (WHERE demand_target > 0) AS n_positive_demand, {R('avg(CASE WHEN demand_target > 0 THEN demand_target END)', 'mean_positive_demand')}, {R('avg(CASE WHEN flood_event = 1 THEN CAST(affected_capped AS DOUBLE) END)', 'saturation_rate')} FROM tfin", TARGETS),
     "label_encode": W("SELECT entity, year, month, CAST(dense_rank() OVER (ORDER BY entity) - 1 AS INTEGER) AS entity_index FROM cal"),
     "one_hot_season": W("""SELECT entity, year, month, season,
         CAST(season = 'Monsoon' AS INTEGER) AS "season_Monsoon", CAST(season = 'Post-Monsoon' AS INTEGER) AS "season_Post-Monsoon",
@@ -435,7 +435,7 @@ SQL: dict[str, str] = {
                      count(*)::DOUBLE AS n FROM sof GROUP BY fold)""", ORDERS_FOLDS),
     "fold_summary": W(f"""SELECT {R('c.avg_roc_auc', 'avg_roc_auc')}, {R('c.avg_pr_auc', 'avg_pr_auc')}, c.n_valid_folds,
         {R('r.avg_mae', 'avg_mae')}, {R('r.median_mae', 'median_mae')}, {R('r.std_mae', 'std_mae')}, {R('r.avg_mape', 'avg_mape')},
-        {R('r.median_mape', 'median_mape')}, {R('r.best_fold_mape', 'best_fold_mape')}, r.n_folds_used,
+        {R('r.median_mape', 'median_mape')}, {R('r.avg_mape_all', 'avg_mape_all')}, {R('r.best_fold_mape', 'best_fold_mape')}, r.n_folds_used,
         c.avg_roc_auc >= 0.8 AS roc_gate, coalesce(r.avg_mape < 0.2, false) AS mape_gate
         FROM (SELECT coalesce(avg(CASE WHEN roc_auc > 0 THEN roc_auc END), 0.0) AS avg_roc_auc, coalesce(avg(pr_auc), 0.0) AS avg_pr_auc,
                      count(*) AS n_valid_folds FROM roc JOIN pr USING (fold)) c,
@@ -443,6 +443,7 @@ SQL: dict[str, str] = {
                      stddev_pop(CASE WHEN mae > 0 THEN mae END) AS std_mae,
                      avg(CASE WHEN mape IS NOT NULL AND NOT isnan(mape) AND mape > 0.001 THEN mape END) AS avg_mape,
                      median(CASE WHEN mape IS NOT NULL AND NOT isnan(mape) AND mape > 0.001 THEN mape END) AS median_mape,
+                     avg(CASE WHEN mape IS NOT NULL AND NOT isnan(mape) THEN mape END) AS avg_mape_all,
                      min(CASE WHEN mape IS NOT NULL AND NOT isnan(mape) AND mape > 0.001 THEN mape END) AS best_fold_mape,
                      count(*) FILTER (WHERE mae > 0) AS n_folds_used FROM reg) r""", ORDERS_FOLDS),
     "source_counts": W("""SELECT count(*) AS n_events, count(*) FILTER (WHERE districts IS NOT NULL) AS n_events_with_list,

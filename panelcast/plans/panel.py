@@ -68,7 +68,7 @@ def raw_feature_panel(inp: PanelInputs, spec: PanelSpec, leak_free: bool = False
     p = fx.add_calendar_features(p)
     p = fx.add_lags(p, spec)
     p = fx.add_rolling(p, spec, leak_free=leak_free)
-    p = fx.add_exposure(p)
+    p = fx.add_exposure(p, spec, leak_free=leak_free)
     return p.withColumn("resource_demand_score", fx.demand_score())
 
 

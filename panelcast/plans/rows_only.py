@@ -91,12 +91,22 @@ def q_report_write(spark, d):
                             F.lit(summ["n_valid_folds"]).alias("n_valid_folds"), F.col("c").alias("fold_scores")).alias("classifier"),
                    F.struct(F.lit(summ["avg_mae"]).alias("avg_mae"), F.lit(summ["median_mae"]).alias("median_mae"),
                             F.lit(summ["avg_mape"]).cast(DoubleType()).alias("avg_mape"),
-                            F.lit(summ["n_folds_used"]).alias("n_folds_used"), F.col("r").alias("fold_scores")).alias("regressor")))
+                            F.lit(summ["n_folds_used"]).alias("n_folds_used"), F.col("r").alias("fold_scores")).alias("regressor"))
+           .join(_seasonal_section(spark, d)))
     path = scratch_path(spark, "report")
     fs.write_report(rep, path)
     return fs.read_report(spark, path, rep.schema)
 
 
+def _seasonal_section(spark, d):
+    """Per-entity seasonal metrics and their summary (computed, not left empty)."""
+    t = tg.targets_final(pp.analogue_panel(spark, d))
+    m = ml.seasonal_evaluate(t)
+    per = F.map_from_entries(F.collect_list(F.struct("entity", F.struct("mae", "rmse", "mape", "n_train", "n_test"))))
+    return m.agg(F.struct(F.avg("mae").alias("avg_mae"), F.avg("mape").alias("avg_mape"),
+                          F.count(F.lit(1)).alias("entities_trained"), per.alias("per_entity")).alias("seasonal"))
+
+
 def _scored_orders_frame(spark, d):
     from panelcast.plans.catalog import _scored_orders
     return _scored_orders(spark, d)

@@ -15,7 +15,7 @@ from panelcast.spec import (AFFECTED_CAP, AFFECTED_WEIGHTS, COMPOSITE_FINAL, COM
                             V2_WEIGHTS)
 
 FINAL_COLUMNS = ["medical_kits_demand", "ors_demand", "tarpaulin_demand", "water_demand_l",
-                 "rations_demand_kg", "demand_target", "demand_log", "flood_event"]
+                 "rations_demand_kg", "demand_target", "demand_log", "flood_event", "affected_capped"]
 V2_COLUMNS = ["medical_kits", "ors_packets", "tarpaulin_sheets", "water_litres", "dry_rations_kg",
               "composite_demand", "flood_event_v2"]
 
@@ -53,8 +53,8 @@ def targets_final(panel: DataFrame) -> DataFrame:
     area_n = F.coalesce("corrected_flooded_area", F.lit(0.0)) / F.lit(floor1(mx["area"]))
     dfsi_n = F.col("dfsi") / F.lit(floor1(mx["dfsi"]))
     w = AFFECTED_WEIGHTS
-    frac = _clip(sev_n * w["severity"] + disp_f * w["displaced"] + area_n * w["area"] + dfsi_n * w["index"],
-                 0.0, AFFECTED_CAP)
+    raw = sev_n * w["severity"] + disp_f * w["displaced"] + area_n * w["area"] + dfsi_n * w["index"]
+    frac = _clip(raw, 0.0, AFFECTED_CAP)
     aff = F.coalesce(pop * frac, F.lit(0.0))
     kits, ors, tarp = aff / NORM_KITS_PER, aff * NORM_ORS, aff / NORM_TARP_PER
     water, rations = aff * 15.0 * 30.0, aff * NORM_RATIONS_KG
@@ -66,7 +66,8 @@ def targets_final(panel: DataFrame) -> DataFrame:
     return panel.select("*", z(kits).alias("medical_kits_demand"), z(ors).alias("ors_demand"),
                         z(tarp).alias("tarpaulin_demand"), z(water).alias("water_demand_l"),
                         z(rations).alias("rations_demand_kg"), z(composite).alias("demand_target"),
-                        F.log1p(composite).alias("demand_log"), event.cast("int").alias("flood_event"))
+                        F.log1p(composite).alias("demand_log"), event.cast("int").alias("flood_event"),
+                        F.coalesce(raw >= AFFECTED_CAP, F.lit(False)).alias("affected_capped"))
 
 
 def targets_v2(panel: DataFrame) -> DataFrame:
