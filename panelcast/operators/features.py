@@ -91,11 +91,12 @@ def fill_zero(panel: DataFrame) -> DataFrame:
 
 
 def label_encode(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Dense index of the sorted distinct labels (0-based).  The ranking runs over the
-    distinct labels only, then joins back by label."""
-    labels = df.select(col).distinct()
-    w = Window.orderBy(col)
-    idx = labels.withColumn(out, (F.dense_rank().over(w) - 1).cast("int"))
+    """Dense index of the sorted distinct labels (0-based).  The distinct labels are
+    range-sorted and numbered with per-partition offsets (no single-partition window),
+    then joined back by label."""
+    from panelcast.operators.splits import global_row_index
+    labels = df.select(col).where(F.col(col).isNotNull()).distinct()
+    idx = global_row_index(labels, [col], out).withColumn(out, F.col(out).cast("int"))
     return df.join(idx, col, "left")
 
 

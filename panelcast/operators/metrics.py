@@ -85,22 +85,25 @@ def class_weights(counts: DataFrame) -> DataFrame:
 
 def fold_summary(cls: DataFrame, reg: DataFrame) -> DataFrame:
     """Report figures over folds: ROC averaged over folds with ROC > 0, PR over all,
-    MAE over MAE > 0, MAPE over non-null MAPE > 0.001 (mean, median, min), the
-    population standard deviation of MAE, and the two target gates."""
+    MAE over MAE > 0, MAPE over non-null MAPE > 0.001 (mean, median, min) and over all
+    non-null folds, the population standard deviation of MAE, and the two target gates.
+    Classifier and regressor fold tables are matched on ``fold`` (full outer) and
+    reduced by one aggregate."""
     from panelcast.spec import GATE_MAPE, GATE_ROC_AUC, MAPE_MIN
-    c = cls.agg(F.coalesce(F.avg(F.when(F.col("roc_auc") > 0, F.col("roc_auc"))), F.lit(0.0)).alias("avg_roc_auc"),
-                F.coalesce(F.avg("pr_auc"), F.lit(0.0)).alias("avg_pr_auc"),
-                F.count(F.lit(1)).alias("n_valid_folds"))
+    j = cls.select("fold", "roc_auc", "pr_auc", F.lit(1).alias("_c")).join(
+        reg.select("fold", "mae", "mape", F.lit(1).alias("_r")), "fold", "full")
     ok = F.col("mape").isNotNull() & ~F.isnan("mape") & (F.col("mape") > MAPE_MIN)
     m_ok = F.when(ok, F.col("mape"))
-    r = reg.agg(F.coalesce(F.avg(F.when(F.col("mae") > 0, F.col("mae"))), F.lit(0.0)).alias("avg_mae"),
-                F.coalesce(F.median(F.when(F.col("mae") > 0, F.col("mae"))), F.lit(0.0)).alias("median_mae"),
-                F.stddev_pop(F.when(F.col("mae") > 0, F.col("mae"))).alias("std_mae"),
+    mae_ok = F.when(F.col("mae") > 0, F.col("mae"))
+    out = j.agg(F.coalesce(F.avg(F.when(F.col("roc_auc") > 0, F.col("roc_auc"))), F.lit(0.0)).alias("avg_roc_auc"),
+                F.coalesce(F.avg("pr_auc"), F.lit(0.0)).alias("avg_pr_auc"),
+                F.count("_c").alias("n_valid_folds"),
+                F.coalesce(F.avg(mae_ok), F.lit(0.0)).alias("avg_mae"),
+                F.coalesce(F.median(mae_ok), F.lit(0.0)).alias("median_mae"),
+                F.stddev_pop(mae_ok).alias("std_mae"),
                 F.avg(m_ok).alias("avg_mape"), F.median(m_ok).alias("median_mape"),
                 F.avg(F.when(F.col("mape").isNotNull() & ~F.isnan("mape"), F.col("mape"))).alias("avg_mape_all"),
                 F.min(m_ok).alias("best_fold_mape"),
-                F.count_if(F.col("mae") > 0).alias("n_folds_used"))
-    one = F.lit(1).alias("_one")  # both sides are single-row aggregates
-    return (c.select("*", one).join(r.select("*", one), "_one").drop("_one")
-            .withColumn("roc_gate", F.col("avg_roc_auc") >= GATE_ROC_AUC)
+                F.count(mae_ok).alias("n_folds_used"))
+    return (out.withColumn("roc_gate", F.col("avg_roc_auc") >= GATE_ROC_AUC)
             .withColumn("mape_gate", F.coalesce(F.col("avg_mape") < GATE_MAPE, F.lit(False))))

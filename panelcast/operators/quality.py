@@ -21,9 +21,8 @@ def year_distribution(events: DataFrame, date_col: str, cutoff_year: int, list_c
     totals = events.agg(F.count_if(y.isNotNull()).alias("n_valid_year"),
                         F.count_if(y < cutoff_year).alias("n_pre_cutoff"),
                         F.count_if(y >= cutoff_year).alias("n_post_cutoff"),
-                        F.count_if(F.col(list_col).isNotNull()).alias("n_with_list"))
-    one = F.lit(1).alias("_one")  # the totals side is a single-row aggregate
-    return per_year.select("*", one).join(totals.select("*", one), "_one").drop("_one")
+                        F.count_if(F.col(list_col).isNotNull()).alias("n_with_list")).first()
+    return per_year.select("*", *[F.lit(v).cast("bigint").alias(k) for k, v in totals.asDict().items()])
 
 
 def event_months(panel: DataFrame, e: str = "entity") -> DataFrame:
@@ -32,17 +31,19 @@ def event_months(panel: DataFrame, e: str = "entity") -> DataFrame:
 
 
 def name_variants(parts: DataFrame, part_col: str, alias: dict[str, str], e: str = "entity") -> DataFrame:
-    """For each canonical name with alternate spellings: the distinct listed names
-    that contain the canonical name or one of its alternates (case-insensitive)."""
+    """For each canonical name with alternate spellings: one row per distinct listed
+    name that contains the canonical name or one of its alternates (case-insensitive),
+    with the family size; a family without variants gives one row with a null variant.
+    Long form, so a large family is never gathered into one value."""
     spark = parts.sparkSession
     fam = [(c, c.lower()) for c in sorted(set(alias.values()))] + [(c, a.lower()) for a, c in alias.items()]
     fam_df = spark.createDataFrame(fam, f"{e} string, probe string")
     names = parts.select(F.col(part_col).alias("variant")).distinct().withColumn("_t", F.lower("variant"))
     hits = contains_pairs(names.select("_t").distinct(), "_t", fam_df.select("probe").distinct(), "probe")
-    v = (hits.join(fam_df, "probe").join(names, "_t").select(e, "variant").distinct()
-         .groupBy(e).agg(F.count(F.lit(1)).alias("n_variants"),
-                         F.array_join(F.array_sort(F.collect_list("variant")), "|").alias("variants")))
-    return fam_df.select(e).distinct().join(v, e, "left").fillna({"n_variants": 0})
+    v = hits.join(fam_df, "probe").join(names, "_t").select(e, "variant").distinct()
+    sizes = v.groupBy(e).agg(F.count(F.lit(1)).alias("n_variants"))
+    return (fam_df.select(e).distinct().join(v, e, "left").join(sizes, e, "left")
+            .fillna({"n_variants": 0}).select(e, "variant", "n_variants"))
 
 
 def event_trace(events: DataFrame, domain: DataFrame, year: int, needle: str, alias: dict[str, str],

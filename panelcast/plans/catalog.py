@@ -490,9 +490,8 @@ def q_source_counts(spark, d):
                         F.count_if(F.col("districts").isNotNull()).alias("n_events_with_list"),
                         F.countDistinct("state").alias("n_states"),
                         F.min("start_date").alias("min_date"), F.max("start_date").alias("max_date"))
-    dom = pp.domain_of(inp, spec).agg(F.count(F.lit(1)).alias("n_entities"))
-    one = F.lit(1).alias("_one")
-    return ev.select("*", one).join(dom.select("*", one), "_one").drop("_one")
+    n_entities = pp.domain_of(inp, spec).count()  # one scalar
+    return ev.withColumn("n_entities", F.lit(n_entities).cast("bigint"))
 
 
 @register("year_distribution")

@@ -456,10 +456,12 @@ SQL: dict[str, str] = {
     "coverage_counts": W(f"""SELECT c.candidate, (SELECT count(*) FROM ev WHERE districts IS NOT NULL AND contains(lower(districts), lower(c.candidate))) AS n_texts
         FROM (SELECT entity AS candidate FROM dom UNION ALL SELECT * FROM (VALUES {", ".join(f"('{a}')" for a in SPEC.alias)}) v(candidate)) c"""),
     "event_months_by_entity": W("SELECT entity, count(*) FILTER (WHERE flood_occurrence > 0) AS event_months, count(*) AS total_months FROM up GROUP BY entity"),
-    "name_variants": W(f"""SELECT f.entity, count(DISTINCT p.part) AS n_variants,
-        CASE WHEN count(p.part) > 0 THEN array_to_string(list_sort(list_distinct(list(p.part))), '|') END AS variants
-        FROM fam f LEFT JOIN (SELECT DISTINCT part FROM recs) p ON contains(lower(p.part), f.probe)
-        GROUP BY f.entity""",
+    "name_variants": W("""SELECT f.entity, v.variant, coalesce(c.n, 0) AS n_variants
+        FROM (SELECT DISTINCT entity FROM fam) f
+        LEFT JOIN (SELECT DISTINCT fam.entity, p.part AS variant FROM fam JOIN (SELECT DISTINCT part FROM recs) p
+                   ON contains(lower(p.part), fam.probe)) v ON f.entity = v.entity
+        LEFT JOIN (SELECT entity, count(DISTINCT p.part) AS n FROM fam JOIN (SELECT DISTINCT part FROM recs) p
+                   ON contains(lower(p.part), fam.probe) GROUP BY entity) c ON f.entity = c.entity""",
         "fam AS (SELECT * FROM (VALUES " + ", ".join([f"('{c}', '{c.lower()}')" for c in sorted(set(SPEC.alias.values()))] + [f"('{c}', '{a.lower()}')" for a, c in SPEC.alias.items()]) + ") v(entity, probe))"),
     "event_trace": W(f"""SELECT r.event_id, substring(r.districts, 1, 200) AS list_prefix, r.pos, r.part, {title('r.part')} AS normalized, r.entity,
         r.entity IN (SELECT entity FROM dom) AS in_domain

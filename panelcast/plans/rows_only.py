@@ -92,19 +92,23 @@ def q_report_write(spark, d):
                    F.struct(F.lit(summ["avg_mae"]).alias("avg_mae"), F.lit(summ["median_mae"]).alias("median_mae"),
                             F.lit(summ["avg_mape"]).cast(DoubleType()).alias("avg_mape"),
                             F.lit(summ["n_folds_used"]).alias("n_folds_used"), F.col("r").alias("fold_scores")).alias("regressor"))
-           .join(_seasonal_section(spark, d)))
+           )
     path = scratch_path(spark, "report")
+    rep = rep.join(_seasonal_section(spark, d, f"{path}-per-entity"))
     fs.write_report(rep, path)
     return fs.read_report(spark, path, rep.schema)
 
 
-def _seasonal_section(spark, d):
-    """Per-entity seasonal metrics and their summary (computed, not left empty)."""
+def _seasonal_section(spark, d, per_entity_path: str | None = None):
+    """Seasonal summary (computed, not left empty).  Per-entity metrics grow with the
+    entity count, so they are written as their own table next to the report instead
+    of being gathered into the report row."""
     t = tg.targets_final(pp.analogue_panel(spark, d))
     m = ml.seasonal_evaluate(t)
-    per = F.map_from_entries(F.collect_list(F.struct("entity", F.struct("mae", "rmse", "mape", "n_train", "n_test"))))
+    if per_entity_path:
+        m.write.mode("overwrite").json(per_entity_path)
     return m.agg(F.struct(F.avg("mae").alias("avg_mae"), F.avg("mape").alias("avg_mape"),
-                          F.count(F.lit(1)).alias("entities_trained"), per.alias("per_entity")).alias("seasonal"))
+                          F.count(F.lit(1)).alias("entities_trained")).alias("seasonal"))
 
 
 def _scored_orders_frame(spark, d):
