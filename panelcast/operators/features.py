@@ -30,28 +30,27 @@ def _w(spec: PanelSpec):
 def add_lags(panel: DataFrame, spec: PanelSpec, col: str = "flood_occurrence",
              fill_zero: bool = False) -> DataFrame:
     """``lag(col, n)`` per entity; the calendar is dense so a row offset is a month offset."""
-    out = panel
+    cols = {}
     for n in spec.lags:
         v = F.lag(col, n).over(_w(spec)).cast("double")
-        out = out.withColumn(f"flood_lag_{n}m", F.coalesce(v, F.lit(0.0)) if fill_zero else v)
-    return out
+        cols[f"flood_lag_{n}m"] = F.coalesce(v, F.lit(0.0)) if fill_zero else v
+    return panel.withColumns(cols)
 
 
 def add_rolling(panel: DataFrame, spec: PanelSpec, col: str = "flood_occurrence",
                 leak_free: bool = False) -> DataFrame:
     """Trailing mean over n rows with at least one row.  By default the current row is
     included (published behaviour); ``leak_free`` uses the n previous rows only."""
-    out = panel
+    cols = {}
     for n in spec.rolls:
         frame = _w(spec).rowsBetween(-n, -1) if leak_free else _w(spec).rowsBetween(-(n - 1), 0)
-        out = out.withColumn(f"flood_roll_{n}m", F.avg(F.col(col).cast("double")).over(frame))
-    return out
+        cols[f"flood_roll_{n}m"] = F.avg(F.col(col).cast("double")).over(frame)
+    return panel.withColumns(cols)
 
 
 def add_calendar_features(panel: DataFrame) -> DataFrame:
-    return (panel.withColumn("season", season_four_way("month"))
-            .withColumn("month_sin", month_sin("month"))
-            .withColumn("month_cos", month_cos("month")))
+    return panel.withColumns({"season": season_four_way("month"), "month_sin": month_sin("month"),
+                              "month_cos": month_cos("month")})
 
 
 def add_exposure(panel: DataFrame, spec: PanelSpec | None = None, leak_free: bool = False) -> DataFrame:
@@ -60,9 +59,9 @@ def add_exposure(panel: DataFrame, spec: PanelSpec | None = None, leak_free: boo
     sev = F.col("severity")
     if leak_free:
         sev = F.coalesce(F.lag("severity", 1).over(_w(spec or PanelSpec())), F.lit(0.0))
-    return (panel.withColumn("flood_exposed_pop",
-                             F.col("census_population") * (F.coalesce("corrected_flooded_area", F.lit(0.0)) / 100.0))
-            .withColumn("pop_x_flood_severity", F.col("census_population") * sev / 100000.0))
+    return panel.withColumns({
+        "flood_exposed_pop": F.col("census_population") * (F.coalesce("corrected_flooded_area", F.lit(0.0)) / 100.0),
+        "pop_x_flood_severity": F.col("census_population") * sev / 100000.0})
 
 
 def demand_score(occ="flood_occurrence", sev="severity", disp="displaced", fat="fatalities") -> F.Column:
@@ -102,10 +101,7 @@ def label_encode(df: DataFrame, col: str, out: str) -> DataFrame:
 
 def one_hot_season(df: DataFrame, col: str = "season", prefix: str = "season",
                    categories: Sequence[str] = SEASON_CATEGORIES) -> DataFrame:
-    out = df
-    for c in categories:
-        out = out.withColumn(f"{prefix}_{c}", (F.col(col) == c).cast("int"))
-    return out
+    return df.withColumns({f"{prefix}_{c}": (F.col(col) == c).cast("int") for c in categories})
 
 
 def add_date(panel: DataFrame) -> DataFrame:

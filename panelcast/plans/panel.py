@@ -64,10 +64,8 @@ def raw_feature_panel(inp: PanelInputs, spec: PanelSpec, leak_free: bool = False
     attrs = px.entity_attributes(domain, inp.index_src, inp.area_src, inp.impact_src,
                                  inp.census_src, spec)
     p = upserted_panel(inp, spec).join(attrs, spec.entity_col, "left")
-    p = p.withColumn("entity_norm", F.col(spec.entity_col))
-    p = fx.add_calendar_features(p)
-    p = fx.add_lags(p, spec)
-    p = fx.add_rolling(p, spec, leak_free=leak_free)
+    p = fx.add_calendar_features(p.withColumn("entity_norm", F.col(spec.entity_col)))
+    p = fx.add_rolling(fx.add_lags(p, spec), spec, leak_free=leak_free)
     p = fx.add_exposure(p, spec, leak_free=leak_free)
     return p.withColumn("resource_demand_score", fx.demand_score())
 

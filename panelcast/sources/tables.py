@@ -29,8 +29,18 @@ ANALOGUE_ALIAS = {"Supplier_7": "Supplier_Seven", "Supplier_13": "Supplier_Thirt
 IMPACT_REGION_PATTERN = "A"
 
 
+_HANDLES: dict = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The table's DataFrame, resolved once per session (file listing and footer
+    schema are read once; the data is read by each query that runs)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _HANDLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _HANDLES[key] = spark.read.parquet(path)
+    return df
 
 
 def place_label(key: Column) -> Column:
