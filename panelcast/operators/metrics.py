@@ -17,14 +17,16 @@ def _score(col: str, bins: int | None) -> Column:
 
 
 def roc_auc(df: DataFrame, group: str, score: str, label: str, bins: int | None = None) -> DataFrame:
-    """Exact ROC-AUC per group; ties count one half; 0 when a class is missing."""
+    """Exact ROC-AUC per group; ties count one half; 0 when a class is missing.
+    Rows are first reduced per (group, distinct score); negatives below each score
+    come from a distributed prefix sum, so no group is gathered into one task."""
+    from panelcast.operators.splits import grouped_prefix_sums
     agg = (df.groupBy(group, _score(score, bins).alias("_s"))
            .agg(F.sum(F.col(label).cast("long")).alias("_tp"),
                 F.sum((1 - F.col(label)).cast("long")).alias("_fp")))
-    w = Window.partitionBy(group).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    a = agg.withColumn("_fp_below", F.coalesce(F.sum("_fp").over(w), F.lit(0)))
+    a = grouped_prefix_sums(agg, group, "_s", ["_fp"], exclusive=True)
     r = a.groupBy(group).agg(
-        F.sum(F.col("_tp") * (F.col("_fp_below") + F.col("_fp") / 2.0)).alias("_u"),
+        F.sum(F.col("_tp") * (F.col("cum__fp") + F.col("_fp") / 2.0)).alias("_u"),
         F.sum("_tp").alias("_P"), F.sum("_fp").alias("_N"))
     auc = F.when((F.col("_P") > 0) & (F.col("_N") > 0), F.col("_u") / (F.col("_P") * F.col("_N"))).otherwise(0.0)
     return r.select(group, auc.alias("roc_auc"))
@@ -32,18 +34,21 @@ def roc_auc(df: DataFrame, group: str, score: str, label: str, bins: int | None
 
 def pr_auc(df: DataFrame, group: str, score: str, label: str, bins: int | None = None) -> DataFrame:
     """Trapezoid area under the precision-recall curve, starting at (recall 0,
-    precision 1) and walking thresholds from high to low; null without positives."""
+    precision 1) and walking thresholds from high to low; null without positives.
+    The previous point of each threshold is recovered from the running sums
+    themselves, so the walk needs no cross-partition lag."""
+    from panelcast.operators.splits import grouped_prefix_sums
     agg = (df.groupBy(group, _score(score, bins).alias("_s"))
            .agg(F.sum(F.col(label).cast("long")).alias("_tp"), F.count(F.lit(1)).alias("_n")))
-    wd = Window.partitionBy(group).orderBy(F.desc("_s"))
-    cum = wd.rowsBetween(Window.unboundedPreceding, 0)
-    a = (agg.withColumn("_ctp", F.sum("_tp").over(cum)).withColumn("_cn", F.sum("_n").over(cum))
-         .withColumn("_P", F.sum("_tp").over(Window.partitionBy(group))))
-    a = (a.withColumn("_rec", F.try_divide(F.col("_ctp"), F.col("_P")))
-         .withColumn("_pre", F.try_divide(F.col("_ctp"), F.col("_cn"))))
-    a = (a.withColumn("_rec0", F.coalesce(F.lag("_rec").over(wd), F.lit(0.0)))
-         .withColumn("_pre0", F.coalesce(F.lag("_pre").over(wd), F.lit(1.0))))
-    area = F.sum((F.col("_rec") - F.col("_rec0")) * (F.col("_pre") + F.col("_pre0")) / 2.0)
+    a = grouped_prefix_sums(agg, group, "_s", ["_tp", "_n"], descending=True)
+    P = agg.groupBy(group).agg(F.sum("_tp").alias("_P"))
+    a = a.join(P, group)
+    ctp, cn = F.col("cum__tp"), F.col("cum__n")
+    ptp, pn = ctp - F.col("_tp"), cn - F.col("_n")
+    rec, pre = F.try_divide(ctp, F.col("_P")), F.try_divide(ctp, cn)
+    rec0 = F.coalesce(F.try_divide(ptp, F.col("_P")), F.lit(0.0))
+    pre0 = F.when(pn > 0, ptp / pn).otherwise(F.lit(1.0))
+    area = F.sum((rec - rec0) * (pre + pre0) / 2.0)
     return a.groupBy(group).agg(F.when(F.max("_P") > 0, area).alias("pr_auc"))
 
 

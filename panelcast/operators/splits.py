@@ -69,3 +69,26 @@ def holdout_split(df: DataFrame, entity: str, order_col: str, frac: float = 0.8)
             .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(entity)))
             .withColumn("n_train", F.floor(F.col("n") * frac).cast("int"))
             .withColumn("is_train", F.col("rn") <= F.col("n_train")))
+
+
+def grouped_prefix_sums(df: DataFrame, group: str, order: str, cols: Sequence[str],
+                        descending: bool = False, exclusive: bool = False) -> DataFrame:
+    """Running sums of ``cols`` within each ``group`` in ``order``, computed without
+    putting a whole group into one task: rows are range-sorted on (group, order), each
+    partition's per-group totals give offsets (a small table), and local running
+    sums are added within (partition, group) - whose size is bounded by the range
+    partition, not by the group.  ``exclusive`` sums strictly earlier rows."""
+    key = F.col(order).desc() if descending else F.col(order).asc()
+    s = (df.orderBy(F.col(group).asc(), key)
+         .withColumn("_pid", F.spark_partition_id())
+         .checkpoint(eager=True))
+    tot = s.groupBy("_pid", group).agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    wo = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select("_pid", group, *[F.coalesce(F.sum(f"_t_{c}").over(wo), F.lit(0)).alias(f"_o_{c}")
+                                       for c in cols])
+    wl = Window.partitionBy("_pid", group).orderBy(key).rowsBetween(
+        Window.unboundedPreceding, -1 if exclusive else 0)
+    out = s.join(offs, ["_pid", group])
+    return (out.withColumns({f"cum_{c}": F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(wl), F.lit(0))
+                             for c in cols})
+            .drop("_pid", *[f"_o_{c}" for c in cols]))

@@ -81,3 +81,20 @@ def test_alternate_lookup_order(spark):
     alias = {"Balasore": "Baleshwar", "Keonjhar": "Kendujhar"}
     got = {r.entity: r.found_as for r in nm.alternate_lookup(targets, "entity", alias, src, "dist_name").collect()}
     assert got == {"Baleshwar": "Balasore", "Puri": "Puri", "Kendujhar": "NOT FOUND"}
+
+
+def test_grouped_prefix_sums_span_partitions(spark):
+    rnd = random.Random(11)
+    rows = [(0 if i % 4 else 1 + i % 3, i, rnd.randint(0, 5)) for i in range(4000)]  # group 0 holds 3/4
+    df = spark.createDataFrame(rows, "g int, o int, v long").repartition(9)
+    for desc, excl in ((False, False), (True, False), (False, True)):
+        got = {(r.g, r.o): r.cum_v for r in sx.grouped_prefix_sums(df, "g", "o", ["v"], desc, excl).collect()}
+        for g in {r[0] for r in rows}:
+            seq = sorted((r for r in rows if r[0] == g), key=lambda r: r[1], reverse=desc)
+            acc = 0
+            for _, o, v in seq:
+                if not excl:
+                    acc += v
+                assert got[(g, o)] == acc
+                if excl:
+                    acc += v
