@@ -301,10 +301,10 @@ pfi AS (SELECT *, row_number() OVER (ORDER BY date, entity) - 1 AS row_idx, coun
 pf AS (SELECT *, CASE WHEN row_idx >= n - {C.N_SPLITS} * (n // {C.N_SPLITS + 1})
                       THEN CAST(floor((row_idx - (n - {C.N_SPLITS} * (n // {C.N_SPLITS + 1}))) / (n // {C.N_SPLITS + 1})) AS INTEGER) END AS val_fold
        FROM pfi),
-blk AS (SELECT coalesce(val_fold, -1) AS block, count(*) AS n_blk, sum(flood_event) AS pos_blk FROM pf GROUP BY 1),
+blk AS (SELECT coalesce(val_fold, -1) AS block, count(*) AS n_blk, CAST(sum(flood_event) AS BIGINT) AS pos_blk FROM pf GROUP BY 1),
 fcnt AS (SELECT block AS fold,
-                sum(n_blk) OVER (ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS n_train,
-                sum(pos_blk) OVER (ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pos_train,
+                CAST(sum(n_blk) OVER (ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS n_train,
+                CAST(sum(pos_blk) OVER (ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS pos_train,
                 n_blk AS n_val, pos_blk AS pos_val FROM blk)"""
 
 EXPLODE_RAW = "ev_parts AS (SELECT event_id, unnest(string_split(districts, ',')) AS raw_part FROM ev WHERE districts IS NOT NULL)"
