@@ -21,6 +21,9 @@ from panelcast.sources import files as fs
 from panelcast.sources import tables as tb
 
 SENTINELS = ("NA", "N/A", "None")
+# Trees per fold in the registered model queries (the published setting, 300-500, is a
+# parameter of the operators; smoke runs keep it small).
+TREES = 10
 
 
 @register("csv_roundtrip")
@@ -146,7 +149,7 @@ def q_feature_vector(spark, d):
 @register("gbt_classifier")
 def q_gbt_classifier(spark, d):
     idx, n, _ = _fold_scores(spark, d)
-    scores, _ = ml.fit_classifier_folds(idx, n, N_SPLITS)
+    scores, _ = ml.fit_classifier_folds(idx, n, N_SPLITS, max_iter=TREES)
     return spark.createDataFrame(scores, ml.CLS_SCHEMA)
 
 
@@ -154,7 +157,7 @@ def q_gbt_classifier(spark, d):
 def q_gbt_regressor(spark, d):
     t = tg.targets_final(pp.analogue_panel(spark, d))
     feats, _ = ml.feature_frame(t)
-    scores, _ = ml.fit_regressor_folds(feats.where(F.col("demand_target") > 0))
+    scores, _ = ml.fit_regressor_folds(feats.where(F.col("demand_target") > 0), max_iter=TREES)
     return spark.createDataFrame(scores, ml.REG_SCHEMA)
 
 
@@ -167,7 +170,7 @@ def q_seasonal_regression(spark, d):
 @register("feature_importance")
 def q_feature_importance(spark, d):
     idx, n, cols = _fold_scores(spark, d)
-    _, models = ml.fit_classifier_folds(idx, n, N_SPLITS)
+    _, models = ml.fit_classifier_folds(idx, n, N_SPLITS, max_iter=TREES, first_only=True)
     pairs = ml.feature_importance(models[0], cols) if models else []
     return spark.createDataFrame(pairs, "feature string, importance double")
 
@@ -175,7 +178,7 @@ def q_feature_importance(spark, d):
 @register("flat_forecast")
 def q_flat_forecast(spark, d):
     idx, n, cols = _fold_scores(spark, d)
-    _, models = ml.fit_classifier_folds(idx, n, N_SPLITS)
+    _, models = ml.fit_classifier_folds(idx, n, N_SPLITS, max_iter=TREES, first_only=True)
     last = idx.where(F.col("row_idx") == n - 1)
     return ml.flat_forecast(models[0], last, 12)
 
@@ -183,6 +186,6 @@ def q_flat_forecast(spark, d):
 @register("model_package")
 def q_model_package(spark, d):
     idx, n, cols = _fold_scores(spark, d)
-    model = ml.package(idx.drop("features"), cols, "flood_event", scratch_path(spark, "model"))
+    model = ml.package(idx.drop("features"), cols, "flood_event", scratch_path(spark, "model"), max_iter=TREES)
     scored = model.transform(idx.drop("features")).select("flood_event", "prediction")
     return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), F.sum("flood_event").alias("positives"))
