@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.stats import exact_medians
-from panelcast.spec import (AFFECTED_CAP, AFFECTED_WEIGHTS, COMPOSITE_FINAL, COMPOSITE_V2_SCALES,
-                            NORM_KITS_PER, NORM_ORS, NORM_RATIONS_KG, NORM_TARP_PER, V2_RATIONS_KG,
-                            V2_WEIGHTS)
+from panelcast.spec import (AFFECTED_CAP, AFFECTED_WEIGHTS, COMPOSITE_FINAL, COMPOSITE_FINAL_SCALES,
+                            COMPOSITE_V2_SCALES,
+                            NORM_KITS_PER, NORM_ORS, NORM_RATIONS_KG, NORM_TARP_PER, SUPPLY_DAYS,
+                            V2_RATIONS_KG_PER_DAY, V2_WEIGHTS, WATER_L_PER_DAY)
 
 FINAL_COLUMNS = ["medical_kits_demand", "ors_demand", "tarpaulin_demand", "water_demand_l",
                  "rations_demand_kg", "demand_target", "demand_log", "flood_event", "affected_capped"]
@@ -57,10 +58,11 @@ def targets_final(panel: DataFrame) -> DataFrame:
     frac = _clip(raw, 0.0, AFFECTED_CAP)
     aff = F.coalesce(pop * frac, F.lit(0.0))
     kits, ors, tarp = aff / NORM_KITS_PER, aff * NORM_ORS, aff / NORM_TARP_PER
-    water, rations = aff * 15.0 * 30.0, aff * NORM_RATIONS_KG
+    water, rations = aff * WATER_L_PER_DAY * SUPPLY_DAYS, aff * NORM_RATIONS_KG
     c = COMPOSITE_FINAL
-    composite = (kits * c["kits"] + ors / 10.0 * 0.15 + tarp * c["tarp"] + water / 1000.0 * 0.2
-                 + rations * c["rations"])
+    cs = COMPOSITE_FINAL_SCALES  # ORS / 10 * .15 and water / 1000 * .2, operation order kept
+    composite = (kits * c["kits"] + ors / cs["ors"] * c["ors"] + tarp * c["tarp"]
+                 + water / cs["water"] * c["water"] + rations * c["rations"])
     event = F.col("flood_occurrence") > 0
     z = lambda x: F.when(event, x).otherwise(F.lit(0.0))
     return panel.select("*", z(kits).alias("medical_kits_demand"), z(ors).alias("ors_demand"),
@@ -84,8 +86,8 @@ def targets_v2(panel: DataFrame) -> DataFrame:
     kits = F.bround(aff / NORM_KITS_PER, 0)
     ors = F.bround(aff * NORM_ORS, 0)
     tarp = F.bround(aff / NORM_TARP_PER, 0)
-    water = F.bround(aff * 15.0 * 30.0, 0)
-    rations = F.bround(aff * 0.4 * 30.0, 1)
+    water = F.bround(aff * WATER_L_PER_DAY * SUPPLY_DAYS, 0)
+    rations = F.bround(aff * V2_RATIONS_KG_PER_DAY * SUPPLY_DAYS, 1)
     s = COMPOSITE_V2_SCALES
     parts = kits / s["kits"] + ors / s["ors"] + tarp / s["tarp"] + water / s["water"] + rations / s["rations"]
     comp = _clip(F.log1p(parts * 1000.0), 0.0, 10.0)

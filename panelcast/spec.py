@@ -32,14 +32,17 @@ AFFECTED_CAP = 0.3
 NORM_KITS_PER = 1000.0
 NORM_ORS = 0.2
 NORM_TARP_PER = 5.0
-NORM_WATER_L = 15.0 * 30.0
+WATER_L_PER_DAY = 15.0
+SUPPLY_DAYS = 30.0
+NORM_WATER_L = WATER_L_PER_DAY * SUPPLY_DAYS
 NORM_RATIONS_KG = 12.0
 # Composite (final): .2*kits + .15*ORS/10 + .2*tarpaulin + .2*water/1000 + .25*rations
-COMPOSITE_FINAL = {"kits": 0.2, "ors": 0.15 / 10.0, "tarp": 0.2, "water": 0.2 / 1000.0, "rations": 0.25}
+COMPOSITE_FINAL = {"kits": 0.2, "ors": 0.15, "tarp": 0.2, "water": 0.2, "rations": 0.25}
+COMPOSITE_FINAL_SCALES = {"ors": 10.0, "water": 1000.0}
 # Composite (v2): log1p(1000 * (kits/1e4 + ors/5e4 + tarp/5e3 + water/1e7 + rations/1e5)), clip 0..10
 COMPOSITE_V2_SCALES = {"kits": 1e4, "ors": 5e4, "tarp": 5e3, "water": 1e7, "rations": 1e5}
 V2_WEIGHTS = {"severity": 0.5, "displaced": 0.3, "occurrence": 0.2}
-V2_RATIONS_KG = 0.4 * 30.0
+V2_RATIONS_KG_PER_DAY = 0.4
 
 # Forecast bands: probability +/- (0.1 + 0.02*step); demand x0.5 / x2.0.
 PROB_BAND_BASE = 0.1
