@@ -468,4 +468,7 @@ SQL: dict[str, str] = {
         FROM recs r WHERE year(r.start_date) = {C.TRACE_YEAR} AND contains(lower(r.districts), '{C.TRACE_NEEDLE}')"""),
     "csv_roundtrip": W(f"SELECT event_id, start_date, state, districts, {R('severity', 'severity')} FROM ev"),
     "default_columns": W(f"SELECT entity, year, month, {R('severity', 'severity')}, 0.0::DOUBLE AS duration, NULL::DOUBLE AS area_affected FROM up"),
+    "jsonl_scan": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+        array_to_string(list_sort(json_keys(props)), ',') AS property_keys FROM events WHERE event_type <> 'error'""",
+    "panel_sink": W(f"SELECT {sel(PANEL_COLS, PANEL_DOUBLES)} FROM panel"),
 }

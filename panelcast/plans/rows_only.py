@@ -55,7 +55,8 @@ def q_default_columns(spark, d):
 def q_panel_sink(spark, d):
     path = scratch_path(spark, "panel")
     fs.write_panel(pp.analogue_panel(spark, d), path)
-    return fs.read_panel(spark, path)
+    from panelcast.plans.catalog import r6
+    return r6(fs.read_panel(spark, path))
 
 
 @register("jsonl_scan")
@@ -68,8 +69,8 @@ def q_jsonl_scan(spark, d):
     path = scratch_path(spark, "jsonl")
     e.select(rec.alias("value")).write.mode("overwrite").text(path)
     back = fs.read_json_lines(spark, path, "event_id long, properties struct<k:long>")
-    return back.select("event_id", "properties.k",
-                       F.json_object_keys(F.to_json("properties")).alias("property_keys"))
+    keys = F.array_join(F.array_sort(F.json_object_keys(F.to_json("properties"))), ",")
+    return back.select("event_id", "properties.k", keys.alias("property_keys"))
 
 
 def _fold_scores(spark, d, max_iter=10):
