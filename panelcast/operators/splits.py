@@ -4,8 +4,9 @@ The global row index must not funnel rows through one task (a window without a
 partition) nor through one hot date.  Rows are range-sorted on the full ordering
 key (so a hot date is split across partitions), each partition's row count is
 aggregated (one row per partition) and the prefix offset is added to the
-position inside the partition.  The sorted data is checkpointed to the shared
-checkpoint folder so both passes see the same layout even after executor loss.
+position inside the partition.  The sorted data (with its partition ids) is written
+as a table under the shared checkpoint folder, so both passes see the same layout
+even after executor loss.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelcast.session import materialize
+
 
 def global_row_index(df: DataFrame, order_cols: Sequence[str], out: str = "row_idx") -> DataFrame:
-    s = (df.orderBy(*order_cols)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id())
-         .checkpoint(eager=True))
+    s = materialize(df.orderBy(*order_cols)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id()), "rowidx")
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
@@ -79,9 +81,8 @@ def grouped_prefix_sums(df: DataFrame, group: str, order: str, cols: Sequence[st
     sums are added within (partition, group) - whose size is bounded by the range
     partition, not by the group.  ``exclusive`` sums strictly earlier rows."""
     key = F.col(order).desc() if descending else F.col(order).asc()
-    s = (df.orderBy(F.col(group).asc(), key)
-         .withColumn("_pid", F.spark_partition_id())
-         .checkpoint(eager=True))
+    s = materialize(df.orderBy(F.col(group).asc(), key).withColumn("_pid", F.spark_partition_id()),
+                    "prefix")
     tot = s.groupBy("_pid", group).agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     wo = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("_pid", group, *[F.coalesce(F.sum(f"_t_{c}").over(wo), F.lit(0)).alias(f"_o_{c}")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from panelcast.operators import features as fx
 from panelcast.operators import panel as px
 from panelcast.operators.names import entity_domain
+from panelcast.session import materialize
 from panelcast.sources import tables
 from panelcast.spec import PanelSpec
 
@@ -75,7 +76,7 @@ def feature_panel(inp: PanelInputs, spec: PanelSpec, leak_free: bool = False,
     """The complete panel (31 columns)."""
     p = raw_feature_panel(inp, spec, leak_free)
     if checkpoint:  # the median passes and the final plan reuse it; cut the lineage once
-        p = p.checkpoint(eager=True)
+        p = materialize(p, "raw-panel")
     p = fx.impute_medians(p, accuracy=spec.median_accuracy)
     p = fx.fill_zero(p)
     p = fx.add_date(p)

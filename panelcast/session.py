@@ -20,6 +20,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            # one JVM: there is no better locality to wait for (cluster default kept)
+            b = b.config("spark.locality.wait", "0s")
     spark = (
         b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -56,3 +59,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/panelcast-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut the lineage by writing a parquet table under the shared checkpoint folder
+    and reading it back: computed once, survives executor loss, and later passes read
+    only the columns they need."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
