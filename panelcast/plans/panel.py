@@ -7,6 +7,7 @@ its median fill, and the last raw measure value is chosen before coercion.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,14 +39,40 @@ class PanelInputs:
     census_src: DataFrame
 
 
+class AnalogueInputs:
+    """Inputs on the test tables.  The three line-item attribute sources share one
+    statistics table, materialized lazily (once per inputs object, only when an
+    attribute source is used)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.events = tables.event_inventory(spark, sf_dir)
+        self.entity_names = tables.entity_names(spark, sf_dir)
+        self.index_src = tables.index_source(spark, sf_dir)
+
+    @cached_property
+    def _stats(self) -> DataFrame:
+        return materialize(tables.line_stats(self.spark, self.sf_dir), "line-stats")
+
+    @cached_property
+    def area_src(self) -> DataFrame:
+        return tables.area_source(self.spark, self.sf_dir, self._stats)
+
+    @cached_property
+    def impact_src(self) -> DataFrame:
+        return tables.impact_source(self.spark, self.sf_dir, self._stats)
+
+    @cached_property
+    def census_src(self) -> DataFrame:
+        return tables.census_source(self.spark, self.sf_dir, self._stats)
+
+
 def analogue_spec() -> PanelSpec:
     return PanelSpec(alias=dict(tables.ANALOGUE_ALIAS))
 
 
-def analogue_inputs(spark: SparkSession, sf_dir: str) -> PanelInputs:
-    return PanelInputs(tables.event_inventory(spark, sf_dir), tables.entity_names(spark, sf_dir),
-                       tables.index_source(spark, sf_dir), tables.area_source(spark, sf_dir),
-                       tables.impact_source(spark, sf_dir), tables.census_source(spark, sf_dir))
+def analogue_inputs(spark: SparkSession, sf_dir: str) -> AnalogueInputs:
+    return AnalogueInputs(spark, sf_dir)
 
 
 def domain_of(inp: PanelInputs, spec: PanelSpec) -> DataFrame:

@@ -95,9 +95,10 @@ def index_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One partial aggregate of the line items per (supplier, return flag).  The
-    area, impact and census sources are all derived from it, so within one plan the
-    largest table is scanned and shuffled once (the identical exchange is reused)."""
+    """One aggregate of the line items per (supplier, return flag); the area, impact
+    and census sources derive from it.  Pass the same (materialized) frame to all
+    three so the largest table is read once for them: planned separately, each would
+    prune the aggregate differently and scan again."""
     li = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_returnflag", "l_discount", "l_tax", "l_quantity")
     return (li.groupBy("l_suppkey", "l_returnflag")
             .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_discount").alias("sum_discount"),
@@ -105,9 +106,9 @@ def line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.count_if(F.col("l_discount") < 0.05).alias("n_low_discount")))
 
 
-def area_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def area_source(spark: SparkSession, sf_dir: str, stats: DataFrame | None = None) -> DataFrame:
     """Flooded-area table keyed by ``dist_name``: 100 x mean discount and tax."""
-    st = line_stats(spark, sf_dir)
+    st = line_stats(spark, sf_dir) if stats is None else stats
     n = F.sum("n_lines")
     return (st.groupBy("l_suppkey")
             .agg((F.sum("sum_discount") / n * 100.0).alias("percent_flooded_area"),
@@ -116,7 +117,7 @@ def area_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "percent_flooded_area", "corrected_flooded_area"))
 
 
-def impact_source(spark: SparkSession, sf_dir: str,
+def impact_source(spark: SparkSession, sf_dir: str, stats: DataFrame | None = None,
                   region_pattern: str = IMPACT_REGION_PATTERN) -> DataFrame:
     """Impact table (population, mean duration) for suppliers of the covered regions."""
     s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -126,17 +127,17 @@ def impact_source(spark: SparkSession, sf_dir: str,
                .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
                .where(F.coalesce(F.col("r_name").rlike(region_pattern), F.lit(False)))
                .select(F.col("s_suppkey").alias("l_suppkey")))
-    st = line_stats(spark, sf_dir)
+    st = line_stats(spark, sf_dir) if stats is None else stats
     return (st.join(covered, "l_suppkey", "left_semi").groupBy("l_suppkey")
             .agg((F.sum("n_lines") * 100).cast("double").alias("population"),
                  (F.sum("sum_quantity") / F.sum("n_lines") / 10.0).alias("mean_flood_duration"))
             .select(place_label(F.col("l_suppkey")).alias("dist_name"), "population", "mean_flood_duration"))
 
 
-def census_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def census_source(spark: SparkSession, sf_dir: str, stats: DataFrame | None = None) -> DataFrame:
     """Census rows, several per place (one per return flag) with differing case and
     padding; ``row_seq`` is the file order (later rows win on a case-insensitive match)."""
-    st = line_stats(spark, sf_dir)
+    st = line_stats(spark, sf_dir) if stats is None else stats
     label = place_label(F.col("l_suppkey"))
     name = (F.when(F.col("l_returnflag") == "A", F.lower(label))
             .when(F.col("l_returnflag") == "N", F.concat(F.lit(" "), label, F.lit(" ")))
