@@ -89,16 +89,20 @@ def q_report_write(spark, d):
     cls = mx.roc_auc(s, "fold", "score", "label").join(mx.pr_auc(s, "fold", "score", "label"), "fold")
     reg = mx.regression_metrics(s, "fold", "y_true", "y_pred")
     summ = mx.fold_summary(cls, reg).first()
-    rep = (cls.agg(F.sort_array(F.collect_list(F.struct("fold", "roc_auc", "pr_auc"))).alias("c"))
-           .join(reg.agg(F.sort_array(F.collect_list(F.struct("fold", "mae", "rmse", "mape", "n_val"))).alias("r")))
+    folds = cls.join(reg, "fold", "full")  # at most one row per fold
+    cls_s = F.when(F.col("roc_auc").isNotNull(), F.struct("fold", "roc_auc", "pr_auc"))
+    reg_s = F.when(F.col("mae").isNotNull(), F.struct("fold", "mae", "rmse", "mape", "n_val"))
+    rep = (folds.agg(F.sort_array(F.collect_list(cls_s)).alias("c"), F.sort_array(F.collect_list(reg_s)).alias("r"))
            .select(F.struct(F.lit(summ["avg_roc_auc"]).alias("avg_roc_auc"), F.lit(summ["avg_pr_auc"]).alias("avg_pr_auc"),
                             F.lit(summ["n_valid_folds"]).alias("n_valid_folds"), F.col("c").alias("fold_scores")).alias("classifier"),
                    F.struct(F.lit(summ["avg_mae"]).alias("avg_mae"), F.lit(summ["median_mae"]).alias("median_mae"),
                             F.lit(summ["avg_mape"]).cast(DoubleType()).alias("avg_mape"),
-                            F.lit(summ["n_folds_used"]).alias("n_folds_used"), F.col("r").alias("fold_scores")).alias("regressor"))
-           )
+                            F.lit(summ["n_folds_used"]).alias("n_folds_used"), F.col("r").alias("fold_scores")).alias("regressor")))
     path = scratch_path(spark, "report")
-    rep = rep.join(_seasonal_section(spark, d, f"{path}-per-entity"))
+    seas = _seasonal_section(spark, d, f"{path}-per-entity").first()["seasonal"]
+    rep = rep.withColumn("seasonal", F.struct(F.lit(seas["avg_mae"]).cast(DoubleType()).alias("avg_mae"),
+                                              F.lit(seas["avg_mape"]).cast(DoubleType()).alias("avg_mape"),
+                                              F.lit(seas["entities_trained"]).cast("long").alias("entities_trained")))
     fs.write_report(rep, path)
     return fs.read_report(spark, path, rep.schema)
 
