@@ -50,6 +50,16 @@ class AnalogueInputs:
         self.entity_names = tables.entity_names(spark, sf_dir)
         self.index_src = tables.index_source(spark, sf_dir)
 
+    def domain(self, spec: PanelSpec) -> DataFrame:
+        """Distinct canonical entity names, written once per inputs object: the
+        calendar, the membership test and the attribute joins all read it."""
+        key = tuple(sorted(spec.alias.items())) + (spec.entity_col,)
+        cache = self.__dict__.setdefault("_domains", {})
+        if key not in cache:
+            cache[key] = materialize(entity_domain(self.entity_names, "raw_name", spec.alias, spec.entity_col),
+                                     "domain")
+        return cache[key]
+
     @cached_property
     def _stats(self) -> DataFrame:
         return materialize(tables.line_stats(self.spark, self.sf_dir), "line-stats")
@@ -75,7 +85,9 @@ def analogue_inputs(spark: SparkSession, sf_dir: str) -> AnalogueInputs:
     return AnalogueInputs(spark, sf_dir)
 
 
-def domain_of(inp: PanelInputs, spec: PanelSpec) -> DataFrame:
+def domain_of(inp, spec: PanelSpec) -> DataFrame:
+    if hasattr(inp, "domain"):
+        return inp.domain(spec)
     return entity_domain(inp.entity_names, "raw_name", spec.alias, spec.entity_col)
 
 
