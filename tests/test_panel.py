@@ -110,3 +110,15 @@ def test_median_impute_and_all_null(spark):
     out = fx.fill_zero(fx.impute_medians(df, ["x", "y"])).orderBy("entity").collect()
     assert [r.x for r in out] == [1.0, 3.0, 3.0, 10.0]
     assert [r.y for r in out] == [0.0] * 4
+
+
+def test_leak_free_options(spark, domain):
+    rows = [(1, 1, dt.date(2000, 1, 1), "x", "Puri", "4", None, None, None),
+            (2, 2, dt.date(2000, 2, 1), "x", "Puri", "6", None, None, None)]
+    p, _ = build(spark, domain, rows)
+    p = p.withColumn("census_population", F.lit(100000.0)).withColumn("corrected_flooded_area", F.lit(None).cast("double"))
+    cur = fx.add_exposure(p, SPEC).where("entity = 'Puri'").orderBy("month").collect()
+    lag = fx.add_exposure(p, SPEC, leak_free=True).where("entity = 'Puri'").orderBy("month").collect()
+    assert [r.pop_x_flood_severity for r in cur[:3]] == [4.0, 6.0, 0.0]
+    assert [r.pop_x_flood_severity for r in lag[:3]] == [0.0, 4.0, 6.0]
+    assert cur[0].flood_exposed_pop == 0.0
