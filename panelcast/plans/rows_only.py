@@ -162,7 +162,7 @@ def q_gbt_classifier(spark, d):
 def q_gbt_regressor(spark, d):
     t = tg.targets_final(pp.analogue_panel(spark, d))
     feats, _ = ml.feature_frame(t)
-    scores, _ = ml.fit_regressor_folds(feats.where(F.col("demand_target") > 0), max_iter=TREES)
+    scores, _ = ml.fit_regressor_folds(feats, max_iter=TREES)
     return spark.createDataFrame(scores, ml.REG_SCHEMA)
 
 
