@@ -191,6 +191,11 @@ def q_flat_forecast(spark, d):
 @register("model_package")
 def q_model_package(spark, d):
     idx, n, cols = _fold_scores(spark, d)
-    model = ml.package(idx.drop("features"), cols, "flood_event", scratch_path(spark, "model"), max_iter=TREES)
+    scores = spark.createDataFrame(ml.fit_classifier_folds(idx, n, N_SPLITS, max_iter=TREES, first_only=True)[0],
+                                   ml.CLS_SCHEMA)
+    path = scratch_path(spark, "model")
+    encoder = idx.select("entity", "entity_index").distinct()
+    model = ml.package(idx.drop("features"), cols, "flood_event", path, max_iter=TREES, encoder=encoder, scores=scores)
+    assert spark.read.json(f"{path}/features").count() == len(cols)
     scored = model.transform(idx.drop("features")).select("flood_event", "prediction")
     return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), F.sum("flood_event").alias("positives"))
