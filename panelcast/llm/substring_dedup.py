@@ -12,6 +12,7 @@ words, never by hash.
 * Pieces that are frequent in a small sample rank last among minimisers (the sample only
   sets an order; every order gives the same result), so a common line spreads over its
   contexts instead of filling one bucket.
+* The strings go in PASSES rounds by minimiser, which halves the disk they need at once.
 * What is removed is written to the shared folder as spans per text, and meets the texts
   in one join on (doc_id, text key).
 
@@ -28,6 +29,7 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,8 @@ from panelcast.llm.common import LOWEST, arrow_map, docs_table, mix64, materiali
 
 WINDOW = 20
 PIECE = 4
+#: Rounds over the texts; each shuffles 1/PASSES of the packed strings (about 4.2 bytes per input byte in all).
+PASSES = 2
 #: Share of sampled minimisers from which a piece counts as frequent; its inverse bounds their number.
 FREQUENT_SHARE = 1 / 2000
 SAMPLE = 0.02
@@ -97,7 +101,8 @@ def super_kmers(docs: list[list[bytes]], k: int, m: int, frequent: np.ndarray):
     return joined, offsets, first, last, rank[place[cut]], np.searchsorted(ends, first, side="right"), starts
 
 
-def _emit_super_kmers(k: int, m: int, frequent: np.ndarray):
+def _emit_super_kmers(k: int, m: int, frequent: np.ndarray, part: int, passes: int):
+    """Packed strings of the minimisers that belong to one pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids = column_of(batch, "doc_id").to_pylist()
@@ -106,6 +111,8 @@ def _emit_super_kmers(k: int, m: int, frequent: np.ndarray):
             if found is None:
                 continue
             joined, offsets, first, last, mini, doc, starts = found
+            mine = np.flatnonzero(mini % np.uint64(passes) == np.uint64(part))
+            first, last, mini, doc = first[mine], last[mine], mini[mine], doc[mine]
             keys = [(LOWEST if i is None else i, text_key(t)) for i, t in zip(ids, text)]
             lo, hi = offsets[first].tolist(), (offsets[last + k] - 1).tolist()
             start = (first - starts[doc]).tolist()
@@ -219,14 +226,19 @@ def frequent_pieces(docs: DataFrame, sample: float = SAMPLE, share: float = FREQ
     return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
 
 
-def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = PIECE) -> DataFrame:
+def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = PIECE, passes: int = PASSES) -> DataFrame:
     """Spans of words covered by windows that also start earlier: (d, h, spans), one row
-    per text with any; d is the doc_id, h the text key.  ``docs``: doc_id, text."""
+    per text with any; d is the doc_id, h the text key.  ``docs``: doc_id, text.  Each pass
+    takes its share of the minimisers, so that only that share of the packed strings is on
+    disk at once."""
     frequent = frequent_pieces(docs)
-    spans = (arrow_map(docs, _emit_super_kmers(k, m, frequent), "mini long, packed binary, places binary")
-             .repartition("mini").sortWithinPartitions("mini"))
-    spans = arrow_map(spans, _find_spans(k), "d long, h long, s int, e int")
-    return materialize(spans.groupBy("d", "h").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "spans")
+    found = []
+    for part in range(passes):
+        packed = arrow_map(docs, _emit_super_kmers(k, m, frequent, part, passes), "mini long, packed binary, places binary")
+        spans = arrow_map(packed.repartition("mini").sortWithinPartitions("mini"), _find_spans(k), "d long, h long, s int, e int")
+        found.append(materialize(spans.groupBy("d", "h").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "spans"))
+    every = reduce(DataFrame.unionByName, found)
+    return every.groupBy("d", "h").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _kept(words: list[bytes], spans) -> list[bytes]:
