@@ -1,38 +1,60 @@
 """The corpus pipeline: toxicity, near-duplicates, repeated passages, benchmark leaks, tokens.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
-and read again as the next stage's docs.
+and read again as the next stage's docs; all but the last return the columns of documents.
+Every stage works on all rows that its predecessor kept.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import simhash, substring_dedup
-from panelcast.llm.common import materialize, prepare
+from panelcast.llm import decontaminate, pieces, simhash, substring_dedup, toxicity
+from panelcast.llm.common import docs_table, materialize, prepare
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model finds likely toxic go."""
+    return toxicity.reject_toxic(docs, docs_table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the smallest doc_id) of each SimHash component stays."""
     prepare(spark)
     return simhash.keep_one(docs)
 
 
-def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of passages that an earlier document or place has go from the text."""
     prepare(spark)
     return substring_dedup.remove_repeats(docs)
 
 
-STAGES = [("simhash", near_dedup), ("substrings", substrings)]
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages go from the text, texts that are little else go whole."""
+    return decontaminate.remove_leaks(docs, docs_table(spark, sf_dir, "benchmark"))
+
+
+def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids and the text decoded from them."""
+    prepare(spark)
+    return pieces.tokenize(docs)
+
 
-#: No stage order can be expressed in SQL (hashing, training, tokenizing).
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_copies),
+    ("substring_dedup", drop_repeats),
+    ("benchmark_decontamination", drop_leaks),
+    ("sentencepiece", to_tokens),
+]
+
+#: Training, hashing and tokenizing have no SQL form; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs_table(spark, sf_dir)
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

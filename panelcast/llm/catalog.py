@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from panelcast.llm import simhash, substring_dedup
+from panelcast.llm import decontaminate, pieces, simhash, substring_dedup, toxicity
 
-MODULES = (substring_dedup, simhash)
+MODULES = (substring_dedup, simhash, decontaminate, toxicity, pieces)
 
 
 def queries() -> dict:
