@@ -3,9 +3,11 @@
 P(grade > j | x) = sigmoid(w.x - theta_j): the weights are shared by all ordered thresholds
 theta_0 < theta_1 < ..., and the output is the expected severity sum_j P(grade > j).
 
-* Features: which cue words a text has (each counted as log2(1 + occurrences), sparse).  Cues
-  are words whose share of toxic training texts exceeds that of the others by ``CUE_Z``
-  standard errors.  Near copies among the training texts (min-hash) count once.
+* Features: cues, each counted as log2(1 + occurrences), sparse.  A cue is a word or a word
+  beginning of 4 to 8 bytes that is in more toxic training texts than chance allows (binomial
+  tail bound times the number of candidates below ``CUE_P``); of beginnings that contain each
+  other the most significant stays, so a word has one cue at most.  Near copies among the
+  training texts (min-hash) count once.
 * Grades of a labelled text: 0 if its label is not toxic; else 1, or 2 if it holds at least
   the toxic texts' median number of cue occurrences.  Grades that do not occur get no
   threshold.
@@ -33,9 +35,11 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import arrow_map, column_of, docs_table, slices, texts
 
 TRAIN_ROWS = 8000
-CUE_Z = 8.0
-MIN_TEXTS = 4
-L2 = 1e-3
+CUE_P = 0.05
+BEGINNINGS = (4, 5, 6, 7, 8)
+#: Distinct words a task remembers before it starts anew (memory only).
+TABLE_WORDS = 500_000
+L2 = 1e-5
 #: A text goes if a grade above 0 is at least this likely.
 REJECT_AT = 0.5
 
@@ -47,15 +51,32 @@ def words_of(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode("utf-8", "surrogatepass").translate(_LETTERS).split()
 
 
+def _candidates(word: bytes) -> list[bytes]:
+    return [b"=" + word, *(word[:n] for n in BEGINNINGS if n <= len(word))]
+
+
 @dataclass
 class Ordinal:
-    """Cue weights and ordered thresholds."""
+    """Cue weights (a word with b"=" in front, or a beginning) and ordered thresholds."""
     weights: dict[bytes, float]
     thresholds: list[float]
 
-    def above(self, words: list[bytes]) -> list[float]:
+    def cue(self, word: bytes) -> bytes | None:
+        return next((c for c in _candidates(word) if c in self.weights), None)
+
+    def cues(self, words: list[bytes], table: dict[bytes, bytes | None]) -> Counter:
+        """Cue occurrences; ``table`` remembers each distinct word's cue."""
+        try:
+            found = [c for w in words if (c := table[w])]
+        except KeyError:
+            if len(table) > TABLE_WORDS:
+                table.clear()
+            table.update((w, self.cue(w)) for w in set(words) if w not in table)
+            found = [c for w in words if (c := table[w])]
+        return Counter(found)
+
+    def above(self, counts: Counter) -> list[float]:
         """P(grade > j) for each threshold."""
-        counts = Counter(filter(self.weights.__contains__, words))
         x = sum(self.weights[w] * np.log2(1 + n) for w, n in sorted(counts.items()))
         return [float(1 / (1 + np.exp(-np.clip(x - t, -50, 50)))) for t in self.thresholds]
 
@@ -136,24 +157,45 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Ordinal
     bags, toxic = [b for b, k in zip(bags, keep) if k], toxic[keep]
     if not toxic.any() or toxic.all():
         return Ordinal({}, [])
-    held = [Counter(), Counter()]
-    for b, t in zip(bags, toxic):
-        held[int(t)].update(b.keys())
-    n = [int((~toxic).sum()), int(toxic.sum())]
-    cues = []
-    for w, a in sorted(held[1].items()):
-        p, q = a / n[1], held[0][w] / n[0]
-        pool = (a + held[0][w]) / sum(n)
-        if a >= MIN_TEXTS and p - q >= CUE_Z * np.sqrt(pool * (1 - pool) * (1 / n[0] + 1 / n[1])):
-            cues.append(w)
-    x = np.array([[np.log2(1 + b[w]) for w in cues] for b in bags]).reshape(len(bags), len(cues))
-    total = np.array([sum(b[w] for w in cues) for b in bags])
+    weights = dict.fromkeys(_choose_cues(bags, toxic), 0.0)
+    model, table = Ordinal(weights, []), {}
+    counts = [model.cues(list(b.elements()), table) for b in bags]
+    cues = list(weights)
+    x = np.array([[np.log2(1 + c[w]) for w in cues] for c in counts]).reshape(len(bags), len(cues))
+    total = np.array([sum(c.values()) for c in counts])
     grade = np.where(toxic, 1 + (total >= max(1, np.median(total[toxic]))), 0)
     grade = np.searchsorted(np.unique(grade), grade)
     w, theta = fit_ordinal(x, grade)
     return Ordinal(dict(zip(cues, w.tolist())), theta.tolist())
 
 
+def _choose_cues(bags: list[Counter], toxic: np.ndarray) -> list[bytes]:
+    """Words and beginnings that toxic texts hold more often than chance allows."""
+    held = [Counter(), Counter()]
+    for b, t in zip(bags, toxic):
+        held[int(t)].update({c for w in b for c in _candidates(w)})
+    base = float(toxic.mean())
+    names = sorted(held[1])
+    a = np.array([held[1][c] for c in names], dtype=float)
+    n = a + np.array([held[0][c] for c in names], dtype=float)
+    p = np.clip(a / n, 1e-12, 1 - 1e-12)
+    tail = np.where(p > base, n * (p * np.log(p / base) + (1 - p) * np.log((1 - p) / (1 - base))), 0)
+    found: list[bytes] = []
+    taken: set[bytes] = set()  # chosen beginnings and words, with all their own beginnings
+    chosen: set[bytes] = set()
+    order = sorted(np.flatnonzero(tail > np.log(len(names) / CUE_P)).tolist(), key=lambda i: (-round(tail[i], 6), names[i][:1] == b"=", -len(names[i]), names[i]))
+    for i in order:
+        c = names[i]
+        word = c[1:] if c[:1] == b"=" else c
+        inside = [word[:k] for k in BEGINNINGS if k <= len(word)]
+        if chosen.isdisjoint(inside) and c not in taken and word not in taken:
+            found.append(c)
+            taken.update([c, *inside])
+            if c[:1] != b"=":
+                chosen.add(c)
+    return found
+
+
 _COLUMNS = "_pc_severity double, _pc_toxic double, _pc_grade int"
 
 
@@ -162,10 +204,11 @@ def score(docs: DataFrame, model: Ordinal) -> DataFrame:
     docs = docs.withColumn("text", F.col("text").cast("string"))
 
     def run(batches):
+        table: dict[bytes, bytes | None] = {}
         for batch in slices(batches):
             out = []
             for t in texts(batch):
-                above = model.above(words_of(t))
+                above = model.above(model.cues(words_of(t), table))
                 level = np.diff([-1.0, *(-a for a in above), 0.0])
                 out.append((sum(above), above[0] if above else 0.0, int(np.argmax(level))))
             cols = list(zip(*out))

@@ -40,6 +40,22 @@ def test_severity_is_ordered_and_held_out_rows_are_caught(spark, make_docs, word
     assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(str(r["doc_id"]) for r in got if not r["rejected"])
 
 
+def test_cues_are_beginnings_that_generalise():
+    rng = random.Random(4)
+    bags, toxic = [], []
+    for i in range(400):
+        words = [f"w{rng.randint(0, 200)}".encode() for _ in range(30)]
+        if i % 4 == 0:
+            words += [b"grobian" + bytes([97 + rng.randint(0, 25)]) for _ in range(2)]
+        bags.append(T.Counter(words))
+        toxic.append(i % 4 == 0)
+    cues = T._choose_cues(bags, np.array(toxic))
+    assert cues == [b"grobian"]
+    model = T.Ordinal(dict.fromkeys(cues, 1.0), [0.0])
+    table = {}
+    assert model.cues([b"grobianen", b"grob", b"x", b"grobianen"], table) == {b"grobian": 2}
+
+
 def test_fit_matches_a_fine_search():
     rng = np.random.default_rng(2)
     x = rng.integers(0, 4, (500, 1)).astype(float)
