@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from panelcast.llm import decontaminate, pieces, simhash, substring_dedup, toxicity
+from panelcast.llm import decontaminate, html_text, pieces, simhash, substring_dedup, toxicity, url_rules
 
-MODULES = (substring_dedup, simhash, decontaminate, toxicity, pieces)
+MODULES = (substring_dedup, url_rules, simhash, decontaminate, toxicity, html_text, pieces)
 
 
 def queries() -> dict:
