@@ -48,7 +48,7 @@ from panelcast.llm.common import ASCII_LOWER, arrow_map, column_of, docs_table,
 FOLDS, HELD_OUT, DELETED = 5, 1, 4
 CONTEXTS = 65_000
 PAIRS = 1_000_000
-CHUNK_BYTES, CHUNK_DOCS = 12 << 20, 20_000
+CHUNK_BYTES, CHUNK_DOCS = 4 << 20, 20_000
 END = b"\n"  # no word has white space
 RARE, START = 0, 1  # contexts; numbered words follow
 POOLED, FIRST, BUCKETS = 41, 42, 43
@@ -211,7 +211,7 @@ def _unpack(raw: list[bytes], kinds: list) -> list[np.ndarray]:
         for c, k in zip(out, kinds):
             c.append(np.frombuffer(r, dtype=k, count=n, offset=at))
             at += n * np.dtype(k).itemsize
-        which.append(np.full(n, i, dtype=np.int64))
+        which.append(np.full(n, i, dtype=np.int32))
     return [np.concatenate(c) for c in (*out, which)]
 
 
@@ -367,11 +367,12 @@ def _score_parts(vocab, weights):
                 continue
             word, context, doc, times, which = _unpack([d for _, d in mine], [np.uint64, np.uint16, np.uint16, np.uint32])
             learn = times >> np.uint32(31) == 1
-            times = (times & np.uint32(0x7FFFFFFF)).astype(np.int64)
+            times &= np.uint32(0x7FFFFFFF)
             order, start = groups(context, word)
             size = np.diff(np.append(start, len(order)))
             first = order[start]
-            c12 = np.add.reduceat(np.where(learn, times, 0)[order], start)
+            c12 = np.add.reduceat(np.where(learn, times, 0)[order], start, dtype=np.int64)
+            del learn
             w, ctx = word[first], context[first].astype(np.int64)
             of_word = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
             own = np.repeat(np.add.reduceat(c12, of_word), np.diff(np.append(of_word, len(w))))
@@ -380,10 +381,11 @@ def _score_parts(vocab, weights):
             logp = v.log10(weights, ctx, c12, c2)
             base = np.where(numbered, 0.0, v.base(c2))
             known = ~numbered & (c2 > 0)
-            spread = np.empty(len(order), dtype=np.int64)
-            spread[order] = np.repeat(np.arange(len(start)), size)
-            slot = which * 65536 + doc
-            slots, back = np.unique(slot, return_inverse=True)
+            spread = np.empty(len(order), dtype=np.int32)
+            spread[order] = np.repeat(np.arange(len(start), dtype=np.int32), size)
+            del order, word, context
+            slots, back = np.unique(which * np.int64(65536) + doc, return_inverse=True)
+            del which, doc
             sums = [np.bincount(back, x[spread] * times) for x in (logp, base, known)]
             for i, (c, _) in enumerate(mine):
                 a, b = np.searchsorted(slots, [i * 65536, (i + 1) * 65536])
