@@ -22,15 +22,27 @@ def test_same_ids_and_text_as_the_library(sp):
     assert enc.alone
     small = P.Encoder(P.model_file(), table_chars=3)  # the table is emptied again and again
     for t in TEXTS + TEXTS:
-        assert enc.encode(t) == sp.encode(t) == small.encode(t), repr(t)
-        assert enc.decode(enc.encode(t)) == sp.decode(sp.encode(t))
+        assert enc.encode(t).tolist() == sp.encode(t) == small.encode(t).tolist(), repr(t)
+        assert enc.joined(enc.parts(t)) == sp.decode(sp.encode(t)), repr(t)
+
+
+def test_a_model_without_the_property_is_encoded_text_by_text(sp):
+    enc = P.Encoder(P.model_file())
+    enc.alone = False
+    assert all(enc.encode(t).tolist() == sp.encode(t) and enc.joined(enc.parts(t)) == sp.decode(sp.encode(t)) for t in TEXTS)
+
+
+def test_tokenize(make_docs, sp):
+    got = {r["doc_id"]: r for r in P.tokenize(make_docs(list(enumerate(TEXTS)))).collect()}
+    assert all(list(got[i]["ids"]) == sp.encode(t) and got[i]["decoded"] == sp.decode(sp.encode(t)) and got[i]["n_tokens"] == len(sp.encode(t)) for i, t in enumerate(TEXTS))
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(" \t\n▁ab,.1é"), st.characters(codec="utf-8")), max_size=60))
 def test_any_text(text):
     enc = test_any_text.__dict__.setdefault("enc", P.Encoder(P.model_file()))
-    assert enc.encode(text) == enc.sp.encode(text)
+    ids = enc.sp.encode(text)
+    assert enc.encode(text).tolist() == ids and enc.joined(enc.parts(text)) == enc.sp.decode(ids)
 
 
 def test_report(make_docs, sp):
