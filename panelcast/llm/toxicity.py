@@ -120,18 +120,36 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, l2: float = L2, steps: int = 3
     return w, theta
 
 
-def _distinct_texts(bags: list[Counter]) -> np.ndarray:
+@dataclass
+class Bags:
+    """Training texts as (word number, occurrences) arrays; words[i] has number i."""
+    words: list[bytes]
+    texts: list[tuple[np.ndarray, np.ndarray]]
+
+    @classmethod
+    def of(cls, counted) -> Bags:
+        """From (words, occurrences) per text."""
+        number: dict[bytes, int] = {}
+        texts = []
+        for w, n in counted:
+            ids = np.array([number.setdefault(bytes(x), len(number)) for x in w], dtype=np.int32)
+            order = np.argsort(ids)
+            texts.append((ids[order], np.array(n, dtype=np.int32)[order]))
+        return cls(list(number), texts)
+
+
+def _distinct_texts(bags: Bags) -> np.ndarray:
     """Marks all but the first of near copies: 13 or more of 16 min-hashes agree."""
     from zlib import crc32
     rng = np.random.default_rng(11)
     a, b = rng.integers(1, 2 ** 31, 16, dtype=np.uint64) | np.uint64(1), rng.integers(0, 2 ** 31, 16, dtype=np.uint64)
-    sig = np.zeros((len(bags), 16), dtype=np.uint32)
-    for i, bag in enumerate(bags):
-        if bag:
-            h = np.array([crc32(w) for w in bag], dtype=np.uint64)
-            sig[i] = ((h[:, None] * a + b) >> np.uint64(8)).astype(np.uint32).min(axis=0)
-    keep = np.ones(len(bags), dtype=bool)
-    for i in range(len(bags)):
+    h = np.array([crc32(w) for w in bags.words], dtype=np.uint64)
+    sig = np.zeros((len(bags.texts), 16), dtype=np.uint32)
+    for i, (ids, _) in enumerate(bags.texts):
+        if len(ids):
+            sig[i] = ((h[ids][:, None] * a + b) >> np.uint64(8)).astype(np.uint32).min(axis=0)
+    keep = np.ones(len(sig), dtype=bool)
+    for i in range(len(sig)):
         if keep[i]:
             keep[i + 1:] &= (sig[i + 1:] == sig[i]).sum(axis=1) < 13
     return keep
@@ -146,44 +164,55 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Ordinal
 
     def count(batches):
         for batch in slices(batches):
-            bags = [Counter(words_of(t)) for t in texts(batch)]
+            bags = [sorted(Counter(words_of(t)).items()) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays(
-                [column_of(batch, "_pc_id"), column_of(batch, "_pc_toxic"), pa.array([list(b) for b in bags], pa.list_(pa.binary())),
-                 pa.array([list(b.values()) for b in bags], pa.list_(pa.int32()))], ["id", "toxic", "w", "n"])
-    got = sorted(arrow_map(found, count, "id long, toxic int, w array<binary>, n array<int>").toLocalIterator(), key=lambda r: (r["id"], r["w"], r["n"]))
-    bags = [Counter(dict(zip(map(bytes, r["w"]), r["n"]))) for r in got]
-    toxic = np.array([r["toxic"] for r in got], dtype=bool)
-    keep = _distinct_texts(bags) if bags else np.zeros(0, dtype=bool)
-    bags, toxic = [b for b, k in zip(bags, keep) if k], toxic[keep]
+                [column_of(batch, "_pc_id"), column_of(batch, "_pc_toxic"), pa.array([[w for w, _ in b] for b in bags], pa.list_(pa.binary())),
+                 pa.array([[n for _, n in b] for b in bags], pa.list_(pa.int32()))], ["id", "toxic", "w", "n"])
+    # sorted, so that a retried or reordered task changes nothing
+    counted = arrow_map(found, count, "id long, toxic int, w array<binary>, n array<int>").orderBy("id", F.xxhash64("w", "n"))
+    toxic: list[int] = []
+    bags = Bags.of((toxic.append(r["toxic"]) or (r["w"], r["n"])) for r in counted.toLocalIterator())
+    return fit_bags(bags, np.array(toxic, dtype=bool))
+
+
+def fit_bags(bags: Bags, toxic: np.ndarray) -> Ordinal:
+    keep = _distinct_texts(bags)
+    bags, toxic = Bags(bags.words, [t for t, k in zip(bags.texts, keep) if k]), toxic[keep]
     if not toxic.any() or toxic.all():
         return Ordinal({}, [])
-    weights = dict.fromkeys(_choose_cues(bags, toxic), 0.0)
-    model, table = Ordinal(weights, []), {}
-    counts = [model.cues(list(b.elements()), table) for b in bags]
-    cues = list(weights)
-    x = np.array([[np.log2(1 + c[w]) for w in cues] for c in counts]).reshape(len(bags), len(cues))
-    total = np.array([sum(c.values()) for c in counts])
+    cues = choose_cues(bags, toxic)
+    weights, place = dict.fromkeys(cues, 0.0), {c: i for i, c in enumerate(cues)}
+    model = Ordinal(weights, [])
+    cue_of = np.array([place.get(model.cue(w), -1) for w in bags.words] or [-1])
+    counts = np.zeros((len(bags.texts), len(cues)))
+    for row, (ids, n) in zip(counts, bags.texts):
+        at = cue_of[ids]
+        np.add.at(row, at[at >= 0], n[at >= 0])
+    total = counts.sum(axis=1)
     grade = np.where(toxic, 1 + (total >= max(1, np.median(total[toxic]))), 0)
     grade = np.searchsorted(np.unique(grade), grade)
-    w, theta = fit_ordinal(x, grade)
+    w, theta = fit_ordinal(np.log2(1 + counts), grade)
     return Ordinal(dict(zip(cues, w.tolist())), theta.tolist())
 
 
-def _choose_cues(bags: list[Counter], toxic: np.ndarray) -> list[bytes]:
+def choose_cues(bags: Bags, toxic: np.ndarray) -> list[bytes]:
     """Words and beginnings that toxic texts hold more often than chance allows."""
-    held = [Counter(), Counter()]
-    for b, t in zip(bags, toxic):
-        held[int(t)].update({c for w in b for c in _candidates(w)})
+    number: dict[bytes, int] = {}
+    of_word = [np.array([number.setdefault(c, len(number)) for c in _candidates(w)]) for w in bags.words]
+    held = np.zeros((2, max(len(number), 1)), dtype=np.int64)
+    for (ids, _), t in zip(bags.texts, toxic):
+        if len(ids):
+            held[int(t)][np.unique(np.concatenate([of_word[i] for i in ids]))] += 1
+    names = list(number)
     base = float(toxic.mean())
-    names = sorted(held[1])
-    a = np.array([held[1][c] for c in names], dtype=float)
-    n = a + np.array([held[0][c] for c in names], dtype=float)
-    p = np.clip(a / n, 1e-12, 1 - 1e-12)
+    a, n = held[1][:len(names)].astype(float), held.sum(axis=0)[:len(names)].astype(float)
+    p = np.clip(a / np.maximum(n, 1), 1e-12, 1 - 1e-12)
     tail = np.where(p > base, n * (p * np.log(p / base) + (1 - p) * np.log((1 - p) / (1 - base))), 0)
+    tests = max(int((a > 0).sum()), 1)
     found: list[bytes] = []
-    taken: set[bytes] = set()  # chosen beginnings and words, with all their own beginnings
-    chosen: set[bytes] = set()
-    order = sorted(np.flatnonzero(tail > np.log(len(names) / CUE_P)).tolist(), key=lambda i: (-round(tail[i], 6), names[i][:1] == b"=", -len(names[i]), names[i]))
+    taken: set[bytes] = set()  # chosen cues with all their own beginnings
+    chosen: set[bytes] = set()  # chosen beginnings
+    order = sorted(np.flatnonzero(tail > np.log(tests / CUE_P)).tolist(), key=lambda i: (-round(tail[i], 6), names[i][:1] == b"=", -len(names[i]), names[i]))
     for i in order:
         c = names[i]
         word = c[1:] if c[:1] == b"=" else c

@@ -47,9 +47,9 @@ def test_cues_are_beginnings_that_generalise():
         words = [f"w{rng.randint(0, 200)}".encode() for _ in range(30)]
         if i % 4 == 0:
             words += [b"grobian" + bytes([97 + rng.randint(0, 25)]) for _ in range(2)]
-        bags.append(T.Counter(words))
+        bags.append(T.Counter(words).items())
         toxic.append(i % 4 == 0)
-    cues = T._choose_cues(bags, np.array(toxic))
+    cues = T.choose_cues(T.Bags.of(zip(*b) for b in bags), np.array(toxic))
     assert cues == [b"grobian"]
     model = T.Ordinal(dict.fromkeys(cues, 1.0), [0.0])
     table = {}
