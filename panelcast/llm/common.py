@@ -27,7 +27,7 @@ def prepare(spark: SparkSession) -> None:
     batches (long texts), and shuffle files dropped when the query that made them ends
     (what later queries need is written to the shared folder)."""
     ensure_checkpoint_dir(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
@@ -54,7 +54,7 @@ def column_of(batch: pa.RecordBatch, name: str):
     return batch.column(batch.schema.get_field_index(name))
 
 
-def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 4 << 20, text_col: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 3 << 19, text_col: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``max_bytes`` of text (or one longer row)."""
     for batch in batches:
         n = batch.num_rows

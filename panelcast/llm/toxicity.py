@@ -38,7 +38,7 @@ TRAIN_ROWS = 8000
 CUE_P = 0.05
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Distinct words a task remembers before it starts anew (memory only).
-TABLE_WORDS = 500_000
+TABLE_WORDS = 200_000
 L2 = 1e-5
 #: A text goes if a grade above 0 is at least this likely.
 REJECT_AT = 0.5
@@ -166,13 +166,17 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Ordinal
         for batch in slices(batches):
             bags = [sorted(Counter(words_of(t)).items()) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays(
-                [column_of(batch, "_pc_id"), column_of(batch, "_pc_toxic"), pa.array([[w for w, _ in b] for b in bags], pa.list_(pa.binary())),
-                 pa.array([[n for _, n in b] for b in bags], pa.list_(pa.int32()))], ["id", "toxic", "w", "n"])
+                [column_of(batch, "_pc_id"), column_of(batch, "_pc_h"), column_of(batch, "_pc_toxic"), pa.array([[w for w, _ in b] for b in bags], pa.list_(pa.binary())),
+                 pa.array([[n for _, n in b] for b in bags], pa.list_(pa.int32()))], ["id", "h", "toxic", "w", "n"])
+    counted = arrow_map(found.withColumn("_pc_h", F.xxhash64("text")), count, "id long, h long, toxic int, w array<binary>, n array<int>").toArrow()
     # sorted, so that a retried or reordered task changes nothing
-    counted = arrow_map(found, count, "id long, toxic int, w array<binary>, n array<int>").orderBy("id", F.xxhash64("w", "n"))
-    toxic: list[int] = []
-    bags = Bags.of((toxic.append(r["toxic"]) or (r["w"], r["n"])) for r in counted.toLocalIterator())
-    return fit_bags(bags, np.array(toxic, dtype=bool))
+    counted = counted.sort_by([("id", "ascending"), ("h", "ascending")])
+    toxic = np.array(counted["toxic"].to_pylist(), dtype=bool)
+    return fit_bags(Bags.of((r["w"].as_py(), r["n"].as_py()) for b in counted.select(["w", "n"]).to_batches() for r in _rows(b)), toxic)
+
+
+def _rows(batch: pa.RecordBatch):
+    return ({n: batch.column(i)[k] for i, n in enumerate(batch.schema.names)} for k in range(batch.num_rows))
 
 
 def fit_bags(bags: Bags, toxic: np.ndarray) -> Ordinal:
