@@ -178,7 +178,7 @@ def shards(benchmark: DataFrame, window: int, shard_words: int = SHARD_WORDS) ->
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"),
                             F.col("text").cast("string").alias("t")).filter("t is not null")
     held, size = [], 0
-    for r in rows.toLocalIterator():
+    for r in materialize(rows, "items").toLocalIterator():
         ws = words_of(r["t"])
         held.append((r["i"], ws))
         size += len(ws)

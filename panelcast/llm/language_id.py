@@ -139,7 +139,8 @@ def train(docs: DataFrame, most: int = TRAIN_TEXTS) -> Network | None:
             yield pa.RecordBatch.from_arrays([column_of(batch, "doc_id"), column_of(batch, "lang"), pa.array([r.tobytes() for r in rows], pa.binary())],
                                              ["doc_id", "lang", "x"])
     found = docs.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_pc_id")) & (F.col("lang") == F.col("_pc_lang")), "left_semi")
-    got = sorted({(r["doc_id"], r["lang"], bytes(r["x"])) for r in arrow_map(found, cut, "doc_id long, lang string, x binary").toLocalIterator()})
+    cut_up = arrow_map(found, cut, "doc_id long, lang string, x binary").toArrow()
+    got = sorted(set(zip(*(cut_up[c].to_pylist() for c in ("doc_id", "lang", "x")))))
     languages = sorted({r[1] for r in got})
     if not languages:
         return None

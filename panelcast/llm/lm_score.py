@@ -434,7 +434,8 @@ def score_report(docs: DataFrame, contexts: int = CONTEXTS, pairs: int = PAIRS)
                                  "kind int, x long, y long, z long, n long"), "pairs")
     held = np.array([tuple(r) for r in read.filter("kind = 0").groupBy("x", "y", "z").agg(F.sum("n").alias("n")).orderBy("x", "y", "z").collect()], dtype=np.int64).reshape(-1, 4)
     weights = maximise(*held.T, vocab.distinct)
-    hot = np.array([tuple(r) for r in read.filter("kind = 1").select("x", "y").toLocalIterator()], dtype=np.int64).reshape(-1, 2)
+    found = read.filter("kind = 1").select("x", "y").toArrow()  # at most ``pairs`` rows
+    hot = np.stack([np.asarray(found[c], dtype=np.int64) for c in ("x", "y")], axis=1)
     hot = hot[np.argsort(hot[:, 0])]
     codes, counts = (spark.sparkContext.broadcast(np.ascontiguousarray(hot[:, i])) for i in (0, 1))
     packed = arrow_map(docs, _score_texts(shared, weights, codes, counts, parts), row)

@@ -33,6 +33,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -317,8 +318,10 @@ def links(distinct: DataFrame, radius: int = RADIUS, parts: int | None = None, b
     groups = bit_groups(both, n, parts)
     hist = [np.zeros(1 << min(len(g), HIST_BITS), dtype=np.int64) for g in groups]
     counted = arrow_map(distinct.select("fp"), _histograms(groups), "part int, key long, n long").groupBy("part", "key").agg(F.sum("n").alias("n"))
-    for r in counted.toLocalIterator():  # at most parts * 2^HIST_BITS rows
-        hist[r["part"]][r["key"]] = r["n"]
+    counted = counted.toArrow()  # at most parts * 2^HIST_BITS rows
+    for i, h in enumerate(hist):
+        mine = counted.filter(pc.equal(counted["part"], i))
+        h[np.asarray(mine["key"])] = np.asarray(mine["n"])
     tables = spark.sparkContext.broadcast([x.astype(np.float32) for x in _estimates(hist, groups, radius)])
 
     def probe(batches):
