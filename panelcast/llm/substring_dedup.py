@@ -7,11 +7,13 @@ minimiser, so a window costs a fraction of its words in the shuffle.  Equal wind
 meet in one bucket; there the packed strings are sorted and the windows compared by their
 words, never by hash.
 
-* Equal packed strings of one map slice are merged before the shuffle (their places travel
-  along), so a passage that a third of all rows share sends one string per slice.
+* Of equal packed strings only the earliest place can be a first occurrence.  A map slice
+  sends that one; the others are spans to remove at once, which skip the buckets.
 * Pieces that are frequent in a small sample rank last among minimisers (the sample only
   sets an order; every order gives the same result), so a common line spreads over its
-  contexts instead of filling one bucket.
+  contexts instead of filling one bucket.  Windows that hold frequent pieces only (a passage
+  that a third of all rows may share) go to ``SALTS`` buckets per minimiser first; each keeps
+  the earliest place of a string, so at most ``SALTS`` places of it meet in the last one.
 * The strings go in PASSES rounds by minimiser, which halves the disk they need at once.
 * What is removed is written to the shared folder as spans per text, and meets the texts
   in one join on (doc_id, text key).
@@ -43,13 +45,18 @@ WINDOW = 20
 PIECE = 4
 #: Rounds over the texts; each shuffles 1/PASSES of the packed strings (about 4.2 bytes per input byte in all).
 PASSES = 2
-#: Share of sampled minimisers from which a piece counts as frequent; its inverse bounds their number.
-FREQUENT_SHARE = 1 / 2000
+#: Share of the sampled pieces from which one counts as frequent; its inverse bounds their number.
+FREQUENT_SHARE = 1 / 20_000
 SAMPLE = 0.02
+#: Buckets that the strings of a frequent minimiser go to before they meet.
+SALTS = 256
 
 _MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                                 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 _PLACE = "<qIi"  # doc_id, text key, first word
+_SPAN = np.dtype([("d", "<i8"), ("h", "<u4"), ("s", "<i4"), ("e", "<i4")])  # words s to e of a text are repeated
+_PACKED = "mini long, salt int, packed binary, places binary"
+_FOUND = "d long, h long, s int, e int, mini long, packed binary, places binary"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -57,6 +64,19 @@ def words_of(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode("utf-8", "surrogatepass").split()
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return mix64(np.fromiter(map(zlib.crc32, words), dtype=np.uint64, count=len(words)))
+
+
+def ranks(word: np.ndarray, m: int) -> np.ndarray:
+    """63-bit hash of each piece of m consecutive (hashed) words."""
+    n = len(word) - m + 1
+    piece = np.zeros(max(n, 0), dtype=np.uint64)
+    for j in range(m if n > 0 else 0):
+        piece += word[j:n + j] * _MULT[j % 8]
+    return mix64(piece) >> np.uint64(1)
+
+
 def super_kmers(docs: list[list[bytes]], k: int, m: int, frequent: np.ndarray):
     """Super-k-mers of some texts: (words joined, byte offsets, first word, last window,
     minimiser hash, text index), all arrays over super-k-mers but the first two."""
@@ -70,11 +90,8 @@ def super_kmers(docs: list[list[bytes]], k: int, m: int, frequent: np.ndarray):
     joined = b" ".join(flat)
     offsets = np.zeros(n + 1, dtype=np.int64)
     np.cumsum(np.fromiter(map(len, flat), dtype=np.int64, count=n) + 1, out=offsets[1:])
-    word = mix64(np.fromiter(map(zlib.crc32, flat), dtype=np.uint64, count=n))
-    piece = np.zeros(n - m + 1, dtype=np.uint64)
-    for j in range(m):
-        piece += word[j:n - m + 1 + j] * _MULT[j % 8]
-    rank = mix64(piece) >> np.uint64(1)
+    word = word_hashes(flat)
+    rank = ranks(word, m)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, rank), len(frequent) - 1)
         rank |= (frequent[at] == rank).astype(np.uint64) << np.uint64(63)
@@ -101,8 +118,31 @@ def super_kmers(docs: list[list[bytes]], k: int, m: int, frequent: np.ndarray):
     return joined, offsets, first, last, rank[place[cut]], np.searchsorted(ends, first, side="right"), starts
 
 
-def _emit_super_kmers(k: int, m: int, frequent: np.ndarray, part: int, passes: int):
-    """Packed strings of the minimisers that belong to one pass."""
+def _earliest(places: list[tuple[int, int, int]], n_words: int, out: list) -> bytes:
+    """The earliest of equal strings' places (doc_id, text key, first word), packed, with its
+    ties under other keys; ``out`` gets the others as spans."""
+    if len(places) > 1:
+        head = min((d, s) for d, _, s in places)
+        out.extend((d, h, s, s + n_words) for d, h, s in places if (d, s) != head)
+        places = {p for p in places if (p[0], p[2]) == head}
+    return b"".join(struct.pack(_PLACE, *p) for p in sorted(places))
+
+
+def _pack_spans(spans: list[tuple[int, int, int, int]]) -> bytes:
+    """Spans of texts, those that touch put together."""
+    spans.sort()
+    whole = []
+    for d, h, s, e in spans:
+        if whole and whole[-1][:2] == [d, h] and s <= whole[-1][3]:
+            whole[-1][3] = max(whole[-1][3], e)
+        else:
+            whole.append([d, h, s, e])
+    return np.array([tuple(x) for x in whole], dtype=_SPAN).tobytes()
+
+
+def _emit_super_kmers(k: int, m: int, frequent: np.ndarray, part: int, passes: int, salts: int):
+    """Packed strings of the minimisers that belong to one pass, and per slice one row
+    (packed is null) with the spans that are repeated within it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids = column_of(batch, "doc_id").to_pylist()
@@ -115,20 +155,31 @@ def _emit_super_kmers(k: int, m: int, frequent: np.ndarray, part: int, passes: i
             first, last, mini, doc = first[mine], last[mine], mini[mine], doc[mine]
             keys = [(LOWEST if i is None else i, text_key(t)) for i, t in zip(ids, text)]
             lo, hi = offsets[first].tolist(), (offsets[last + k] - 1).tolist()
-            start = (first - starts[doc]).tolist()
+            start, n_words = (first - starts[doc]).tolist(), (last - first + k).tolist()
             merged: dict[bytes, list] = {}
-            order = []
-            for a, b, d, s, h in zip(lo, hi, doc.tolist(), start, mini.view(np.int64).tolist()):
+            order, sizes = [], []
+            for a, b, d, s, h, n in zip(lo, hi, doc.tolist(), start, mini.view(np.int64).tolist(), n_words):
                 packed = joined[a:b]
-                place = struct.pack(_PLACE, *keys[d], s)
+                place = (*keys[d], s)
                 if packed in merged:
                     merged[packed].append(place)
                 else:
                     merged[packed] = [place]
                     order.append(h)
+                    sizes.append(n)
+            spans: list = []
+            places = [_earliest(v, n, spans) for v, n in zip(merged.values(), sizes)]
+            own = zlib.crc32(repr(keys[0]).encode())  # spreads slices
+            salt = np.where(np.array(order, dtype=np.int64) < 0, own % salts, 0)
+            strings: list[bytes | None] = list(merged)
+            if spans:
+                order.append(own)
+                salt = np.append(salt, -1)
+                strings.append(None)
+                places.append(_pack_spans(spans))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(order, pa.int64()), pa.array(list(merged), pa.binary()),
-                 pa.array([b"".join(v) for v in merged.values()], pa.binary())], ["mini", "packed", "places"])
+                [pa.array(order, pa.int64()), pa.array(salt.astype(np.int32)), pa.array(strings, pa.binary()), pa.array(places, pa.binary())],
+                ["mini", "salt", "packed", "places"])
     return run
 
 
@@ -162,71 +213,93 @@ def _spans_of_bucket(rows: list[tuple[bytes, bytes]], k: int, out: list) -> None
             out.extend((d, h, s + run, s + n - 1 + k) for d, h, s in same)
 
 
-def _find_spans(k: int):
+def _find_spans(k: int, last: bool):
+    """Sorted rows of buckets -> spans.  Unless it is the ``last`` round, buckets of frequent
+    minimisers (the top bit) give their strings, each with its earliest place."""
     one = struct.calcsize(_PLACE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[bytes, bytes]] = []
-        held_mini = None
+        held_key = None
         out: list = []
-
-        def flush():
-            rows = list(zip(*out))
+        again: list[tuple[int, bytes, bytes]] = []
+
+        def close():
+            if held_key is not None and held_key[0] < 0 and not last:
+                equal: dict[bytes, list] = {}
+                for packed, raw in held:
+                    equal.setdefault(packed, []).extend(struct.iter_unpack(_PLACE, raw))
+                again.extend((held_key[0], p, _earliest(v, p.count(b" ") + 1, out)) for p, v in equal.items())
+            elif len(held) > 1 or held and len(held[0][1]) > one:
+                _spans_of_bucket(held, k, out)
+
+        def flush(ready=()):
+            """Spans and strings for the last round, each with nulls for the other's columns."""
+            spans = np.concatenate([np.array(out, dtype=_SPAN), *ready])
+            n, more = len(spans), len(again)
+            mini, packed, places = zip(*again) if again else ((), (), ())
+            batch = pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([pa.array(spans[c].astype(t)), pa.nulls(more, pa.from_numpy_dtype(t))])
+                 for c, t in (("d", np.int64), ("h", np.int64), ("s", np.int32), ("e", np.int32))]
+                + [pa.concat_arrays([pa.nulls(n, t), pa.array(c, t)])
+                   for c, t in ((mini, pa.int64()), (packed, pa.binary()), (places, pa.binary()))],
+                ["d", "h", "s", "e", "mini", "packed", "places"])
             out.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()),
-                 pa.array(rows[3], pa.int32())], ["d", "h", "s", "e"])
+            again.clear()
+            return batch
 
         for batch in batches:
+            done = column_of(batch, "packed").is_null()
+            if done.true_count:
+                yield flush([np.frombuffer(x, dtype=_SPAN) for x in column_of(batch, "places").filter(done).to_pylist()])
+                batch = batch.filter(pc.invert(done))
             n = batch.num_rows
             if not n:
                 continue
-            mini = np.asarray(column_of(batch, "mini"))
+            mini, salt = np.asarray(column_of(batch, "mini")), np.asarray(column_of(batch, "salt"))
             packed, places = column_of(batch, "packed"), column_of(batch, "places")
-            cut = np.flatnonzero(np.concatenate(([True], mini[1:] != mini[:-1])))
+            cut = np.flatnonzero(np.concatenate(([True], (mini[1:] != mini[:-1]) | (salt[1:] != salt[:-1]))))
             size = np.diff(np.concatenate((cut, [n])))
             many = np.asarray(pc.binary_length(places)) > one
             work = (size > 1) | np.add.reduceat(many, cut).astype(bool)
+            if not last:
+                work |= mini[cut] < 0
             work[0] = work[-1] = True  # may go on in the next batch
             for a, c in zip(cut[work].tolist(), size[work].tolist()):
-                h = int(mini[a])
+                key = (int(mini[a]), int(salt[a]))
                 rows = list(zip(packed.slice(a, c).to_pylist(), places.slice(a, c).to_pylist()))
-                if h == held_mini:
+                if key == held_key:
                     held += rows
                 else:
-                    if len(held) > 1 or held and len(held[0][1]) > one:
-                        _spans_of_bucket(held, k, out)
-                    held, held_mini = rows, h
-            if len(out) > 50_000:
+                    close()
+                    held, held_key = rows, key
+            if len(out) + len(again) > 50_000:
                 yield flush()
-        if len(held) > 1 or held and len(held[0][1]) > one:
-            _spans_of_bucket(held, k, out)
-        if out:
+        close()
+        if out or again:
             yield flush()
     return run
 
 
-def _merge_equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the minimisers of a partition's sampled texts."""
-    none = np.zeros(0, dtype=np.uint64)
+def _count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the pieces of sampled texts; the piece -1 counts all."""
     for batch in slices(batches):
-        found = super_kmers([words_of(t) for t in texts(batch)], WINDOW, PIECE, none)
-        if found is not None:
-            mini, count = np.unique(found[4], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(mini.view(np.int64)), pa.array(count)], ["mini", "n"])
+        rank = [ranks(word_hashes(words_of(t)), PIECE) for t in texts(batch)]
+        piece, count = np.unique(np.concatenate(rank), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(piece.view(np.int64), -1)), pa.array(np.append(count, count.sum()).astype(np.int64))], ["piece", "n"])
 
 
 def frequent_pieces(docs: DataFrame, sample: float = SAMPLE, share: float = FREQUENT_SHARE) -> np.ndarray:
-    """Pieces that hold ``share`` of a sample's minimisers: at most 1/share of them."""
-    counts = (arrow_map(docs.sample(False, sample, seed=7), _merge_equal, "mini long, n long")
-              .groupBy("mini").agg(F.sum("n").alias("n")))
+    """Pieces that are ``share`` of a sample's pieces: at most 1/share of them."""
+    counts = (arrow_map(docs.sample(False, sample, seed=7), _count_pieces, "piece long, n long")
+              .groupBy("piece").agg(F.sum("n").alias("n")).filter("n >= 4 or piece = -1"))
     counts = materialize(counts, "pieces")
-    every = counts.agg(F.sum("n")).first()[0] or 0
-    rows = counts.filter(F.col("n") >= max(4.0, share * every)).select("mini").collect()
+    every = counts.filter("piece = -1").first()
+    rows = counts.filter((F.col("piece") >= 0) & (F.col("n") >= share * (every["n"] if every else 0))).select("piece").collect()
     return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
 
 
-def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = PIECE, passes: int = PASSES) -> DataFrame:
+def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = PIECE, passes: int = PASSES, salts: int = SALTS) -> DataFrame:
     """Spans of words covered by windows that also start earlier: (d, h, spans), one row
     per text with any; d is the doc_id, h the text key.  ``docs``: doc_id, text.  Each pass
     takes its share of the minimisers, so that only that share of the packed strings is on
@@ -234,11 +307,14 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = PIECE, passes: int
     frequent = frequent_pieces(docs)
     found = []
     for part in range(passes):
-        packed = arrow_map(docs, _emit_super_kmers(k, m, frequent, part, passes), "mini long, packed binary, places binary")
-        spans = arrow_map(packed.repartition("mini").sortWithinPartitions("mini"), _find_spans(k), "d long, h long, s int, e int")
-        found.append(materialize(spans.groupBy("d", "h").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "spans"))
+        packed = arrow_map(docs, _emit_super_kmers(k, m, frequent, part, passes, salts), _PACKED)
+        found.append(materialize(arrow_map(packed.repartition("mini", "salt").sortWithinPartitions("mini", "salt"),
+                                           _find_spans(k, last=False), _FOUND), "spans"))
     every = reduce(DataFrame.unionByName, found)
-    return every.groupBy("d", "h").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    again = every.filter("packed is not null").select("mini", F.lit(0).alias("salt"), "packed", "places")
+    late = arrow_map(again.repartition("mini").sortWithinPartitions("mini"), _find_spans(k, last=True), _FOUND)
+    spans = every.filter("packed is null").unionByName(late).select("d", "h", "s", "e")
+    return spans.groupBy("d", "h").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
 
 def _kept(words: list[bytes], spans) -> list[bytes]:

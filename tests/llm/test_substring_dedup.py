@@ -72,3 +72,25 @@ def test_remove_repeats_keeps_columns(make_docs, words):
 
 def test_empty_table(make_docs):
     assert S.dedup_report(make_docs([])).collect() == []
+
+
+def test_frequent_minimisers_meet_in_two_rounds(make_docs, words, monkeypatch):
+    rows = fixture(words)
+    passage = [w.encode() for w in words(60, 1)]
+    frequent = S.np.unique(S.ranks(S.word_hashes(passage), S.PIECE))
+    monkeypatch.setattr(S, "frequent_pieces", lambda docs: frequent)
+    got = S.dedup_report(make_docs(rows, 12)).collect()
+    assert key(tuple(r) for r in got) == key(brute(rows))
+
+
+def test_frequent_pieces_are_those_of_common_passages(make_docs, words):
+    rows = [(j, " ".join([f"{j}x{i}" for i in range(50)] + words(30, 1))) for j in range(40)]
+    got = S.frequent_pieces(make_docs(rows), 1.0, 1 / 200)
+    assert set(got.tolist()) == set(S.ranks(S.word_hashes([w.encode() for w in words(30, 1)]), S.PIECE).tolist())
+
+
+def test_earliest_place_and_spans():
+    spans = []
+    assert len(S._earliest([(5, 1, 0), (4, 2, 7), (4, 3, 7), (4, 2, 7), (4, 2, 9)], 22, spans)) == 2 * 16
+    raw = S.np.frombuffer(S._pack_spans(spans + [(5, 1, 20, 45)]), dtype=S._SPAN)
+    assert raw.tolist() == [(4, 2, 9, 31), (5, 1, 0, 45)]
