@@ -7,8 +7,9 @@ path lengths expressions).  The expressions' SHA-256 digests are joined with the
 their first four bytes, full digests are then confirmed and the longest rule wins (host and
 path together; of equal lengths the longer host, then block).  Only DataFrame functions run.
 
-The rule table may be of any size: nothing is hinted for broadcast (Spark decides by size),
-a hot host or url is one row of the distinct table, and AQE splits its join back.
+The rule table may be of any size: Spark decides by its size how it is joined.  A hot host is
+one row per distinct head of its paths.  Sites that hold ``HOT_SHARE`` of the pages or more
+(so at most its inverse) are broadcast with their rules, and their pages are not shuffled.
 
 Defined results: null urls and urls without ``://`` have an empty host and path, and no
 rule; without a rule the verdict is ``default`` (allow); rules with an empty host or null
@@ -21,12 +22,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import docs_table
+from panelcast.llm.common import docs_table, materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (host, path, verdict)
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 DIGEST_PREFIX = 8  # hex digits
+#: Share of all pages from which a site (host, head of the path) is hot; its inverse bounds their number.
+HOT_SHARE = 1 / 1000
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -42,7 +45,8 @@ def _labels(host: Column) -> Column:
     return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
 
 
-def apply_rules(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", default: str = "allow") -> DataFrame:
+def apply_rules(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", default: str = "allow",
+                hot_share: float = HOT_SHARE) -> DataFrame:
     """page_id, host, path, rule, verdict for every row of pages (page_id, url)."""
     host, path = split_url(F.col("url").cast("string"))
     pages = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
@@ -54,7 +58,9 @@ def apply_rules(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", def
                       F.sort_array(F.collect_set(F.length("r_path"))).alias("lengths")).first()
     labels, lengths = sizes["labels"] or [1], sizes["lengths"] or [0]
     head = F.substring("path", 1, max(lengths))
-    sites = pages.select("host", head.alias("head")).distinct()
+    pages = pages.withColumn("head", head)
+    sites = materialize(pages.groupBy("host", "head").agg(F.count(F.lit(1)).alias("pages")), "sites")
+    hot_from = hot_share * (sites.agg(F.sum("pages")).first()[0] or 0)
     asked = (sites.withColumn("n", F.explode(F.array(*[F.lit(n) for n in labels]))).filter(_labels(F.col("host")) >= F.col("n"))
              .withColumn("k", F.explode(F.array(*[F.lit(k) for k in lengths]))).filter(F.length("head") >= F.col("k"))
              .withColumn("own", F.sha2(F.concat(F.expr("substring_index(host, '.', -n)"), F.expr("substring(head, 1, k)")), 256))
@@ -62,7 +68,11 @@ def apply_rules(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", def
     order = F.struct(F.length(F.concat("r_host", "r_path")), F.length("r_host"), (F.col("r_verdict") == "block"), "r_host", "r_path", "r_verdict")
     won = (asked.join(rules, "short").filter("own = digest").groupBy("host", "head")
            .agg(F.max_by(F.struct("r_host", "r_path", "r_verdict"), order).alias("won")))
-    return (pages.withColumn("head", head).join(won, ["host", "head"], "left")
+    hot = F.broadcast(sites.filter(F.col("pages") >= hot_from).select("host", "head").join(won, ["host", "head"], "left")
+                      .withColumn("hot", F.lit(True)))
+    marked = pages.join(hot, ["host", "head"], "left")
+    cold = marked.filter("hot is null").drop("won", "hot").join(won, ["host", "head"], "left")
+    return (marked.filter("hot").drop("hot").unionByName(cold)
             .select(id_col, "host", "path", F.concat("won.r_host", "won.r_path").alias("rule"),
                     F.coalesce("won.r_verdict", F.lit(default)).alias("verdict")))
 

@@ -28,8 +28,9 @@ def test_equals_brute_force(spark):
     rows = [(i if i != 3 else None, u) for i, u in enumerate(URLS)]
     pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("x")).withColumn("rule", F.lit(1))
     for rules in (U.RULES, more, []):
-        got = U.apply_rules(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
-        assert sorted(map(str, (tuple(r) for r in got))) == sorted(str((i, *brute(u, rules))) for i, u in rows)
+        for hot_share in (U.HOT_SHARE, 0.1, 2.0):  # every site, sites of three pages, none are hot
+            got = U.apply_rules(pages, spark.createDataFrame(rules, "host string, path string, verdict string"), hot_share=hot_share).collect()
+            assert sorted(map(str, (tuple(r) for r in got))) == sorted(str((i, *brute(u, rules))) for i, u in rows)
     assert U.apply_rules(pages.limit(0), spark.createDataFrame(U.RULES, "host string, path string, verdict string")).collect() == []
 
 
