@@ -12,8 +12,8 @@ theta_0 < theta_1 < ..., and the output is the expected severity sum_j P(grade >
   the toxic texts' median number of cue occurrences.  Grades that do not occur get no
   threshold.
 * Training rows: at most ``TRAIN_ROWS`` labelled documents, those with the smallest hashed
-  doc_id (a documented bound; the model is fitted in numpy on the driver).  Scoring covers
-  whole texts of all rows.
+  doc_id, one text each if a doc_id repeats (a documented bound; the model is fitted in numpy
+  on the driver).  Scoring covers whole texts of all rows.
 
 Defined results: null or wordless texts have no cue and the severity that the thresholds
 give; labels that repeat or disagree count as toxic if one of them does, null labels are
@@ -168,7 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Ordinal
             yield pa.RecordBatch.from_arrays(
                 [column_of(batch, "_pc_id"), column_of(batch, "_pc_h"), column_of(batch, "_pc_toxic"), pa.array([[w for w, _ in b] for b in bags], pa.list_(pa.binary())),
                  pa.array([[n for _, n in b] for b in bags], pa.list_(pa.int32()))], ["id", "h", "toxic", "w", "n"])
-    counted = arrow_map(found.withColumn("_pc_h", F.xxhash64("text")), count, "id long, h long, toxic int, w array<binary>, n array<int>").toArrow()
+    found = (found.withColumn("_pc_h", F.xxhash64("text")).groupBy("_pc_id", "_pc_toxic")
+             .agg(F.min("_pc_h").alias("_pc_h"), F.min_by("text", "_pc_h").alias("text")))
+    counted = arrow_map(found, count, "id long, h long, toxic int, w array<binary>, n array<int>").toArrow()
     # sorted, so that a retried or reordered task changes nothing
     counted = counted.sort_by([("id", "ascending"), ("h", "ascending")])
     toxic = np.array(counted["toxic"].to_pylist(), dtype=bool)

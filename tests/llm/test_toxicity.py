@@ -78,3 +78,9 @@ def test_no_labels_or_one_class(spark, make_docs):
     for labels in (none, one):
         assert [(r["severity"], r["rejected"]) for r in T.severity_report(docs, labels).collect()] == [(0.0, False)] * 2
     assert T.severity_report(make_docs([]), none).collect() == []
+
+
+def test_one_text_of_a_repeated_id_is_learned_from(spark, make_docs, words):
+    rows, labels = corpus(words, 120)
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    assert T.train(make_docs(rows + rows[:1] * 50), table) == T.train(make_docs(rows), table)
