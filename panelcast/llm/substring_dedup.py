@@ -49,7 +49,7 @@ PASSES = 2
 FREQUENT_SHARE = 1 / 20_000
 SAMPLE = 0.02
 #: Buckets that the strings of a frequent minimiser go to before they meet.
-SALTS = 256
+SALTS = 64
 
 _MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                                 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
