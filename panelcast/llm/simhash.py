@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import ASCII_LOWER, arrow_map, column_of, docs_table, ids_and_text, materialize, slices, texts
+from panelcast.llm.common import ASCII_LOWER, arrow_map, column_of, docs_table, ids_and_text, materialize, slices, text_key, texts
 from panelcast.llm.components import components
 
 SHINGLE = 4
@@ -79,12 +79,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for every row of docs (doc_id, text)."""
+    """(doc_id, h, fp) for every row of docs (doc_id, text); h is the text's key."""
     def run(batches):
         for batch in slices(batches):
-            fp = np.array([fingerprint(t, shingle) for t in texts(batch)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([column_of(batch, "doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
-    return arrow_map(docs, run, "doc_id long, fp long")
+            text = texts(batch)
+            fp = np.array([fingerprint(t, shingle) for t in text], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([column_of(batch, "doc_id"), pa.array([text_key(t) for t in text], pa.int64()),
+                                              pa.array(fp.view(np.int64))], ["doc_id", "h", "fp"])
+    return arrow_map(docs, run, "doc_id long, h long, fp long")
 
 
 def _bits(fp: np.ndarray) -> np.ndarray:
@@ -342,20 +344,22 @@ def links(distinct: DataFrame, radius: int = RADIUS, parts: int | None = None, b
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, parts: int | None = None,
                     block: int = BLOCK) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of docs (doc_id, text)."""
+    """(doc_id, h, fp, component_id) for every row of docs (doc_id, text)."""
     each = materialize(fingerprints(ids_and_text(docs), shingle), "fingerprints")
     distinct = materialize(each.groupBy("fp").agg(F.min("doc_id").alias("d")), "distinct")
     roots = components(links(distinct, radius, parts, block)).select(F.col("a").alias("fp"), "root")
     placed = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = placed.groupBy("root").agg(F.min("d").alias("component_id"))
-    return each.join(placed.select("fp", "root").join(lowest, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return each.join(placed.select("fp", "root").join(lowest, "root").select("fp", "component_id"), "fp").select("doc_id", "h", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Of each component the rows of its smallest doc_id stay (components without any
-    doc_id stay whole); columns as given."""
-    found = near_duplicates(docs, shingle, radius).filter("doc_id <> component_id").select(F.col("doc_id").alias("_pc_id")).distinct()
-    return docs.join(found, F.col("doc_id").cast("bigint") == F.col("_pc_id"), "left_anti")
+    doc_id stay whole); texts that share a doc_id are judged one by one; columns as given."""
+    found = (near_duplicates(docs, shingle, radius).filter("doc_id <> component_id")
+             .select(F.col("doc_id").alias("_pc_id"), F.col("h").alias("_pc_h")).distinct())
+    key = F.coalesce(F.crc32(F.col("text").cast("string").cast("binary")), F.lit(0))
+    return docs.join(found, (F.col("doc_id").cast("bigint") == F.col("_pc_id")) & (key == F.col("_pc_h")), "left_anti")
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

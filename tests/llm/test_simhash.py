@@ -108,3 +108,9 @@ def test_keep_one_and_empty(make_docs, words):
     stay = sorted(str(r["doc_id"]) for r in out.collect())
     assert stay == sorted(str(i) for i, _, c in expected(rows) if c is None or i is None or i == c)
     assert report(make_docs([])) == []
+
+
+def test_keep_one_judges_texts_of_one_id_apart(make_docs, words):
+    shared, alone = " ".join(words(60, 8)), " ".join(words(60, 9))
+    out = S.keep_one(make_docs([(3, shared), (5, shared), (5, alone), (6, alone), (6, None), (6, None)]))
+    assert sorted((r["doc_id"], r["text"] or "") for r in out.collect()) == sorted([(3, shared), (5, alone), (6, ""), (6, "")])
