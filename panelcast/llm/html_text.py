@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -168,9 +169,8 @@ def main_text(page: str | None) -> str:
     for i, (line, stop) in enumerate(found):
         good = label[i]
         if good is None:
-            before = max((j for j in decided if j < i), default=None)
-            after = min((j for j in decided if j > i), default=None)
-            near = sorted((abs(j - i), j) for j in (before, after) if j is not None)
+            at = bisect_left(decided, i)
+            near = sorted((abs(j - i), j) for j in decided[max(at - 1, 0):at + 1])
             if not near:
                 good = True
             elif len(near) == 2 and near[0][0] == near[1][0] and label[near[0][1]] != label[near[1][1]]:

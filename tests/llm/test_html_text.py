@@ -40,6 +40,6 @@ def test_table(spark):
 def test_linear_time_on_broken_markup():
     import time
     t = time.time()
-    for page in ("<a \"" * 20000, "<" * 50000, "<p class='" * 5000, "<!--" * 20000, "<div>" * 20000, "&" * 50000):
+    for page in ("<a \"" * 20000, "<" * 50000, "<p class='" * 5000, "<!--" * 20000, "<div>" * 20000, "&" * 50000, ("<p>" + LONG + "</p><p>so short</p>") * 15000):
         main_text(page)
     assert time.time() - t < 60
