@@ -8,8 +8,8 @@ computed in batches.  A text's score per language is the mean over all its windo
 by their letters; texts are never cut short.
 
 Training (numpy, Adam, on the driver): at most ``TRAIN_TEXTS`` texts with a language, those
-with the smallest hashed doc_id whose crc32(doc_id as text) mod 3 is not 1, and of each at
-most ``TRAIN_WINDOWS`` windows spread over the text (documented bounds).  Windows of a training
+with the smallest hashed doc_id whose crc32(doc_id as text) mod 3 is not 1 (of a repeated doc_id one
+text), and of each at most ``TRAIN_WINDOWS`` windows spread over the text (documented bounds).  Windows of a training
 text that the first round finds in another of the languages with near certainty are left out
 of the second round (passages in another language).  Only text and language are used.
 
@@ -125,20 +125,23 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = EPOCHS
 
 
 def training_rows(docs: DataFrame, most: int = TRAIN_TEXTS) -> DataFrame:
-    """A bounded number of labelled texts, never held-out ones (docs: doc_id, text, lang)."""
+    """A bounded number of labelled documents, never held-out ones (docs: doc_id, text, lang);
+    a repeated doc_id is one of them, with its first language."""
     return (docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1))
-            .select("doc_id", "lang", F.xxhash64("doc_id").alias("o")).orderBy("o", "doc_id", "lang").limit(most))
+            .groupBy("doc_id").agg(F.min("lang").alias("lang"))
+            .select("doc_id", "lang", F.xxhash64("doc_id").alias("o")).orderBy("o", "doc_id").limit(most))
 
 
 def train(docs: DataFrame, most: int = TRAIN_TEXTS) -> Network | None:
-    chosen = training_rows(docs, most).select(F.col("doc_id").alias("_pc_id"), F.col("lang").alias("_pc_lang")).distinct()
+    chosen = training_rows(docs, most).select(F.col("doc_id").alias("_pc_id"), F.col("lang").alias("_pc_lang"))
 
     def cut(batches):
         for batch in slices(batches):
             rows = [windows(t or "", TRAIN_WINDOWS) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([column_of(batch, "doc_id"), column_of(batch, "lang"), pa.array([r.tobytes() for r in rows], pa.binary())],
                                              ["doc_id", "lang", "x"])
-    found = docs.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_pc_id")) & (F.col("lang") == F.col("_pc_lang")), "left_semi")
+    found = (docs.filter("text is not null").join(F.broadcast(chosen), (F.col("doc_id") == F.col("_pc_id")) & (F.col("lang") == F.col("_pc_lang")), "left_semi")
+             .groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
     cut_up = arrow_map(found, cut, "doc_id long, lang string, x binary").toArrow()
     got = sorted(set(zip(*(cut_up[c].to_pylist() for c in ("doc_id", "lang", "x")))))
     languages = sorted({r[1] for r in got})

@@ -48,6 +48,14 @@ def test_nothing_or_one_language_learned(spark):
     assert {r["lang_pred"] for r in one} == {"aa"}
 
 
+def test_a_repeated_id_is_one_training_document(spark):
+    rows = [(i, texts_of("aa", 9, i), "aa") for i in range(60)] + [(2, texts_of("bb", 9, 100 + i), "bb") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    chosen = [r["doc_id"] for r in L.training_rows(docs, 20).collect()]
+    assert len(chosen) == len(set(chosen)) == 20
+    assert L.training_rows(docs, 600).count() == len({i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1})
+
+
 def test_windows_cover_the_text():
     for t in ("", "a", "a" * 128, "b" * 129, "É" * 300):
         raw = t.encode()
