@@ -49,6 +49,8 @@ FOLDS, HELD_OUT, DELETED = 5, 1, 4
 CONTEXTS = 65_000
 PAIRS = 1_000_000
 CHUNK_BYTES, CHUNK_DOCS = 4 << 20, 20_000
+#: Training tokens whose pairs one part may hold on average; more tokens make more parts.
+PART_TOKENS = 2_500_000
 END = b"\n"  # no word has white space
 RARE, START = 0, 1  # contexts; numbered words follow
 POOLED, FIRST, BUCKETS = 41, 42, 43
@@ -418,12 +420,12 @@ def _gather(tokens: int):
     return run
 
 
-def score_report(docs: DataFrame, contexts: int = CONTEXTS, pairs: int = PAIRS) -> DataFrame:
+def score_report(docs: DataFrame, contexts: int = CONTEXTS, pairs: int = PAIRS, part_tokens: int = PART_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     vocab = vocabulary(docs, contexts)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-vocab.tokens // part_tokens))
     shared = spark.sparkContext.broadcast(vocab)
     row = "part int, chunk long, data binary"
 

@@ -68,6 +68,8 @@ def test_equals_plain_counting(make_docs, words, contexts, pairs, monkeypatch):
     rows += [(None, None), (None, "the of and"), (200, ""), (201, "É é É"), (5, rows[5][1]), (5, "unseen wordz here"), (300, "the " * 20000), (301, " ".join(words(8000, 4)))]
     docs = make_docs(rows).withColumn("score", F.lit(1)).withColumn("w", F.lit(1))
     check(M.score_report(docs, contexts, pairs).collect(), brute(rows, contexts))
+    if contexts == 20:  # more tokens make more parts
+        check(M.score_report(docs, contexts, pairs, part_tokens=500).collect(), brute(rows, contexts))
 
 
 def test_many_chunks_in_a_task(spark, words):
