@@ -114,3 +114,19 @@ def test_keep_one_judges_texts_of_one_id_apart(make_docs, words):
     shared, alone = " ".join(words(60, 8)), " ".join(words(60, 9))
     out = S.keep_one(make_docs([(3, shared), (5, shared), (5, alone), (6, alone), (6, None), (6, None)]))
     assert sorted((r["doc_id"], r["text"] or "") for r in out.collect()) == sorted([(3, shared), (5, alone), (6, ""), (6, "")])
+
+
+def test_components_with_and_without_hubs(spark):
+    from panelcast.llm.components import components
+    rng = np.random.default_rng(4)
+    pairs = [(0, i) for i in range(1, 80)] + [(200 - i, 400 + i) for i in range(60)] + [(500 + i, 501 + i) for i in range(9)]
+    pairs += [(int(a), int(b)) for a, b in rng.integers(600, 700, (70, 2))] + [(79, 500), (700, 700)]
+    low = {x: x for p in pairs for x in p}
+    for _ in range(len(low)):
+        for a, b in pairs:
+            low[a] = low[b] = min(low[a], low[b])
+    edges = spark.createDataFrame(pairs, "a long, b long").repartition(3)
+    for share in (0.1, 1e-9):  # some hubs, every node
+        got = {r["a"]: r["root"] for r in components(edges, share).collect()}
+        assert got == {x: r for x, r in low.items() if x != r}
+    assert components(edges.limit(0)).collect() == []
