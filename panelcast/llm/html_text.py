@@ -10,6 +10,8 @@ Pass 1 decides each block on its own:
   (by tag, role, class or id), or with most characters inside links;
 * good: inside ``article`` or ``main``; elsewhere if long with enough stop words;
 * bad: elsewhere if long with hardly any stop word;
+* good: elsewhere if long, on pages whose text as a whole (outside the bad parts) has too few stop
+  words for one of the languages the list covers;
 * undecided: the short rest.
 
 Pass 2: an undecided block takes the label of its nearest decided neighbour (of two equally
@@ -37,6 +39,8 @@ from panelcast.llm.common import arrow_map, column_of, docs_table, slices, texts
 MAX_LINK_SHARE = 0.5
 LONG_WORDS = 12
 STOP_HIGH, STOP_LOW = 0.25, 0.08
+#: Least share of stop words of a page's text for the list to cover its language.
+COVERED = 2 * STOP_LOW
 
 # --- fixed values: element names, words that name page parts, frequent words -------------
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "select", "button", "object", "canvas")
@@ -59,7 +63,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>|<[!?][^>]*>", re.S | re.I)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]|[^\W\d_]+")  # scripts without spaces by the character
 
 
 class _Block:
@@ -144,19 +148,22 @@ def blocks(page: str) -> list[_Block]:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    found, label = [], []
+    read = []
     for b in blocks(page):
         line = " ".join("".join(b.parts).split())
         if not line:
             continue
         words = _LETTERS.findall(line.lower())
         stop = sum(w in STOP_WORDS for w in words)
-        n = len(words)
-        if b.bad or b.linked > MAX_LINK_SHARE * len(line):
+        read.append((line, len(words), stop, b.bad or b.linked > MAX_LINK_SHARE * len(line), b.main))
+    covered = sum(r[2] for r in read if not r[3]) >= COVERED * sum(r[1] for r in read if not r[3])
+    found, label = [], []
+    for line, n, stop, bad, main in read:
+        if bad:
             good = False
-        elif b.main:
+        elif main:
             good = True
-        elif n >= LONG_WORDS and stop >= STOP_HIGH * n:
+        elif n >= LONG_WORDS and (stop >= STOP_HIGH * n or not covered):
             good = True
         elif n >= LONG_WORDS and stop < STOP_LOW * n:
             good = False

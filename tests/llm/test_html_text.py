@@ -29,6 +29,19 @@ def test_pages(page, want):
     assert main_text(page) == want
 
 
+POLISH = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem."
+RUSSIAN = "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать братски."
+ITALIAN = "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza e devono agire."
+CHINESE = "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。"
+
+
+@pytest.mark.parametrize("text", [POLISH, RUSSIAN, ITALIAN, CHINESE])
+def test_languages_without_stop_words_in_the_list(text):
+    page = f"<body><nav><a href='/'>Start</a></nav><div><p>{text}</p><p>{text}</p></div><footer>x</footer></body>"
+    assert main_text(page) == f"{text} {text}"
+    assert main_text(f"<div><a href='/'>{text}</a></div><div class=sidebar>{text}</div><p>{text}</p>") == text
+
+
 def test_table(spark):
     rows = [(i, "u", p) for i, (p, _) in enumerate(CASES)] + [(None, None, "<p>x</p>"), (1, "u", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
