@@ -72,6 +72,17 @@ def test_equals_plain_counting(make_docs, words, contexts, pairs, monkeypatch):
         check(M.score_report(docs, contexts, pairs, part_tokens=500).collect(), brute(rows, contexts))
 
 
+@pytest.mark.parametrize("numbered,pairs", [(20, 1_000_000), (50, 200), (0, 1_000_000)])
+def test_every_word_is_a_context(make_docs, words, numbered, pairs):
+    """However few words have numbers: the scores of the plain model without pooling."""
+    rare = ["q%d" % (i % 37) for i in range(400)]
+    rows = [(i, " ".join(words(5 + i % 40, i) + rare[i:i + 9])) for i in range(120)]
+    rows += [(None, "the of q1 q2 never seen"), (200, ""), (5, "unseen wordz q3 q4"), (301, " ".join(words(4000, 4)))]
+    check(M.score_report(make_docs(rows), pairs=pairs, numbered=numbered).collect(), brute(rows, 10 ** 9))
+    if numbered == 20:
+        check(M.score_report(make_docs(rows), part_tokens=500, numbered=numbered).collect(), brute(rows, 10 ** 9))
+
+
 def test_many_chunks_in_a_task(spark, words):
     rows = [(i, " ".join(words(30, i))) for i in range(40)]
     number = {w.encode(): i for i, w in enumerate(sorted({w for _, t in rows for w in t.split()})[:10], 3)} | {M.END: 2}
