@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from panelcast.llm import decontaminate, html_text, language_id, lm_score, pieces, quality, simhash, substring_dedup, toxicity, url_rules
+from panelcast.llm import decontaminate, html_text, language_id, lm_score, mixing, pieces, quality, simhash, substring_dedup, toxicity, url_rules
 
-MODULES = (substring_dedup, url_rules, simhash, language_id, decontaminate, toxicity, html_text, lm_score, quality, pieces)
+MODULES = (substring_dedup, url_rules, simhash, language_id, decontaminate, toxicity, html_text, lm_score, quality, pieces, mixing)
 
 
 def queries() -> dict:
