@@ -15,7 +15,7 @@ Nothing is held by source: rows are range-sorted on (source, key), running sums
 the partitions and offset by the partitions' totals, so that a source with a third of all rows
 is spread over as many tasks as its rows need.  The fill of the targets works on one row a source.
 
-Defined results: a null text has no words (size 0, taken 0); null sources are one source that
+Defined results: a null text has no words (size 0, taken 0, no row in the mix); null sources are one source that
 comes last; a null doc_id is an id like others; repeated rows are drawn one by one (which of
 two equal rows comes first can't be seen); ties of keys go by digest; a source without words
 has target 0; an empty table gives an empty result; sizes of very long texts are counted
@@ -105,7 +105,7 @@ def selection(docs: DataFrame, quality: Column | None = None, weights: Sequence[
         more = F.when(F.col("cum_size") + before <= 2 * rest, F.col("size")).otherwise(F.lit(0))
     run = run.withColumn("_budget", budget.cast("bigint")).withColumn("_whole", once.cast("bigint")).withColumn("_more", more.cast("bigint"))
     all_of = (F.col("_more") == F.col("size")) & (F.col("size") > 0)
-    return run.select("doc_id", "size", "source_size", "target", (F.col("_whole") + all_of.cast("bigint")).alias("epochs"),
+    return run.select("doc_id", "size", "source_size", "target", F.when(F.col("size") > 0, F.col("_whole") + all_of.cast("bigint")).otherwise(F.lit(0)).alias("epochs"),
                       F.when(all_of, F.lit(0).cast("bigint")).otherwise(F.col("_more")).alias("part_words"),
                       (F.col("_whole") * F.col("size") + F.col("_more")).alias("taken"), "digest")
 
