@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from panelcast.llm import decontaminate, hard_negatives, html_text, language_id, lm_score, mixing, pieces, quality, simhash, substring_dedup, toxicity, url_rules
+from panelcast.llm import conversation_repair, decontaminate, hard_negatives, html_text, language_id, lm_score, mixing, pieces, quality, simhash, substring_dedup, toxicity, url_rules
 
-MODULES = (substring_dedup, url_rules, simhash, language_id, decontaminate, toxicity, html_text, lm_score, quality, pieces, mixing, hard_negatives)
+MODULES = (substring_dedup, url_rules, simhash, language_id, decontaminate, toxicity, html_text, lm_score, quality, pieces, mixing, conversation_repair, hard_negatives)
 
 
 def queries() -> dict:
