@@ -514,5 +514,74 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(damage(rows), rows)
 
 
-SQL: dict[str, str] = {}
+#: The same edits forwards, one state vector a turn; crc32 by its table.
+SQL = {
+    "op12_conversation_repair": r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(v ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+    FROM (SELECT unnest(range(256)) AS i))
+), kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce([4294967295] || list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+             lambda x: CAST(ascii(x) AS BIGINT)), lambda c, b: xor(c // 256, tab[xor(c, b) % 256 + 1])), 4294967295) % 20 AS k
+  FROM conversations, crc_table
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN k = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM kinds WHERE k <> 0
+), turns AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+         trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said
+  FROM damaged
+), faulty AS (
+  SELECT *, CASE WHEN said = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         left(role, 1) AS ini, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM turns
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faulty GROUP BY conv_id
+), ways AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {'c': 0, 'a': ''} AS w0, {'c': 999999, 'a': ''} AS ws, {'c': 3, 'a': 'I'} AS wu, {'c': 6, 'a': 'II'} AS wa FROM counts
+  UNION ALL
+  SELECT conv_id, i, v0, vs, vu, list_min([va, {'c': vu.c + 3, 'a': vu.a || 'I'}]) FROM (
+    SELECT conv_id, i, v0, vs, va, list_min([vu, {'c': v0.c + 3, 'a': v0.a || 'I'}, {'c': vs.c + 3, 'a': vs.a || 'I'}, {'c': va.c + 3, 'a': va.a || 'I'}]) AS vu
+    FROM (
+      SELECT w.conv_id, t.i, {'c': w0.c + 4, 'a': w0.a || 'D'} AS v0,
+             list_min([{'c': ws.c + 4, 'a': ws.a || 'D'}, {'c': w0.c + ok + CASE WHEN ini = 's' THEN 0 ELSE 999999 END, 'a': w0.a || 'K'}]) AS vs,
+             list_min([{'c': wu.c + 4, 'a': wu.a || 'D'}, {'c': w0.c + ok + u.c, 'a': w0.a || u.a}, {'c': ws.c + ok + u.c, 'a': ws.a || u.a},
+                       {'c': wa.c + ok + u.c, 'a': wa.a || u.a}]) AS vu,
+             list_min([{'c': wa.c + 4, 'a': wa.a || 'D'}, {'c': wu.c + ok + s.c, 'a': wu.a || s.a}]) AS va
+      FROM ways w JOIN (
+        SELECT conv_id, i, ini, CASE WHEN fault IN ('blank', 'duplicate') THEN 999999 WHEN fault = 'truncated' THEN 3 ELSE 0 END AS ok,
+               CASE WHEN ini = 'u' THEN {'c': 0, 'a': 'K'} ELSE {'c': 3, 'a': 'R'} END AS u,
+               CASE WHEN ini = 'a' THEN {'c': 0, 'a': 'K'} ELSE {'c': 3, 'a': 'R'} END AS s FROM faulty
+      ) t ON w.conv_id IS NOT DISTINCT FROM t.conv_id AND t.i = w.i + 1))
+), best AS (
+  SELECT w.conv_id, list_min([w0, wa]) AS b FROM ways w JOIN counts c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n
+), edits AS (
+  SELECT conv_id, p, substr(b.a, p, 1) AS e FROM (SELECT conv_id, b, unnest(range(1, length(b.a) + 1)) AS p FROM best)
+), placed AS (
+  SELECT e.*, t.role, t.text, row_number() OVER (PARTITION BY e.conv_id ORDER BY p) AS m
+  FROM (SELECT *, count(*) FILTER (e <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i FROM edits) e
+  LEFT JOIN faulty t ON e.conv_id IS NOT DISTINCT FROM t.conv_id AND e.i = t.i AND e.e <> 'I'
+  WHERE e.e <> 'D'
+), told AS (
+  SELECT *, max(CASE WHEN m = 1 AND e = 'K' AND left(role, 1) = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS off FROM placed
+), written AS (
+  SELECT conv_id, sha256(string_agg((CASE WHEN e = 'K' THEN role WHEN (m - off) % 2 = 1 THEN 'user' ELSE 'assistant' END) || ':' || coalesce(text, ''), chr(10) ORDER BY p)) AS sha
+  FROM told GROUP BY conv_id
+)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(b.b.c, 0) AS BIGINT) AS cost, coalesce(b.b.a, '') AS audit,
+       coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON o.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN written w ON o.conv_id IS NOT DISTINCT FROM w.conv_id""",
+}
 QUERIES = {"op12_conversation_repair": op12_conversation_repair}
