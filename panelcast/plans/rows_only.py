@@ -1,12 +1,14 @@
 """Registered queries for sources, sinks, reports and models.
 
 Sinks write under the shared checkpoint folder and read the result back.  Model
-fits are checked on rows and invariants (Spark ML trees are not the published
-learner, so equal scores are not promised).
+fits are checked on rows and invariants (Spark ML grows its trees by level, so equal
+scores are not promised).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -16,14 +18,11 @@ from panelcast.operators import splits as sx
 from panelcast.plans import panel as pp
 from panelcast.plans import targets as tg
 from panelcast.plans.catalog import N_SPLITS, r6, register
-from panelcast.session import scratch_path
+from panelcast.session import materialize, scratch_path
 from panelcast.sources import files as fs
 from panelcast.sources import tables as tb
 
 SENTINELS = ("NA", "N/A", "None")
-# Trees per fold in the registered model queries (the published setting, 300-500, is a
-# parameter of the operators; smoke runs keep it small).
-TREES = 10
 
 
 @register("csv_roundtrip")
@@ -73,12 +72,12 @@ def q_jsonl_scan(spark, d):
     return back.select("event_id", "properties.k", keys.alias("property_keys"))
 
 
-def _fold_scores(spark, d, max_iter=10):
+def _features(spark, d):
+    """Feature frame with its time-ordered row index (written once), row count, feature names."""
     t = tg.targets_final(pp.analogue_panel(spark, d))
     feats, cols = ml.feature_frame(t)
-    idx = sx.global_row_index(feats, ["date", "entity"]).persist()
-    n = idx.count()
-    return idx, n, cols
+    idx = materialize(sx.global_row_index(feats, ["date", "entity"]), "features")
+    return idx, idx.count(), cols
 
 
 @register("report_write")
@@ -153,16 +152,17 @@ def q_feature_vector(spark, d):
 
 @register("gbt_classifier")
 def q_gbt_classifier(spark, d):
-    idx, n, _ = _fold_scores(spark, d)
-    scores, _ = ml.fit_classifier_folds(idx, n, N_SPLITS, max_iter=TREES)
+    """Published final classifier: 500 rounds at most, patience 30 on the fold's AUC."""
+    idx, n, _ = _features(spark, d)
+    scores, _ = ml.fit_classifier_folds(idx, n, N_SPLITS)
     return spark.createDataFrame(scores, ml.CLS_SCHEMA)
 
 
 @register("gbt_regressor")
 def q_gbt_regressor(spark, d):
-    t = tg.targets_final(pp.analogue_panel(spark, d))
-    feats, _ = ml.feature_frame(t)
-    scores, _ = ml.fit_regressor_folds(feats, max_iter=TREES)
+    """Published final regressor: 500 rounds at most, patience 30 on the fold's MAE."""
+    idx, _, _ = _features(spark, d)
+    scores, _ = ml.fit_regressor_folds(idx)
     return spark.createDataFrame(scores, ml.REG_SCHEMA)
 
 
@@ -174,28 +174,42 @@ def q_seasonal_regression(spark, d):
 
 @register("feature_importance")
 def q_feature_importance(spark, d):
-    idx, n, cols = _fold_scores(spark, d)
-    _, models = ml.fit_classifier_folds(idx, n, N_SPLITS, max_iter=TREES, first_only=True)
-    pairs = ml.feature_importance(models[0], cols) if models else []
-    return spark.createDataFrame(pairs, "feature string, importance double")
+    """Split counts of the two packaged models, classifier and regressor."""
+    idx, n, cols = _features(spark, d)
+    _, cls = ml.fit_classifier_folds(idx, n, N_SPLITS, first_only=True)
+    _, reg = ml.fit_regressor_folds(idx, first_only=True)
+    found = [ml.feature_importance(f, cols, spark).select(F.lit(k).alias("model"), "feature", "splits")
+             for k, fits in (("classifier", cls), ("regressor", reg)) for f in fits if f is not None]
+    return reduce(lambda a, b: a.unionByName(b), found)
 
 
 @register("flat_forecast")
 def q_flat_forecast(spark, d):
-    idx, n, cols = _fold_scores(spark, d)
-    _, models = ml.fit_classifier_folds(idx, n, N_SPLITS, max_iter=TREES, first_only=True)
-    last = idx.where(F.col("row_idx") == n - 1)
-    return ml.flat_forecast(models[0], last, 12)
+    """The regressor's prediction on the last row, repeated for 12 months."""
+    idx, n, cols = _features(spark, d)
+    _, fits = ml.fit_regressor_folds(idx, first_only=True)
+    return ml.flat_forecast(fits[0].model, idx.where(F.col("row_idx") == n - 1), 12)
+
+
+@register("model_refit")
+def q_model_refit(spark, d):
+    """The classifier refitted on every row with the first valid fold's best round."""
+    idx, n, _ = _features(spark, d)
+    _, fits = ml.fit_classifier_folds(idx, n, N_SPLITS, first_only=True)
+    model = ml.fit_classifier_all(idx, max_iter=fits[0].best)
+    scored = model.transform(idx).select("flood_event", "prediction")
+    return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), F.sum("flood_event").alias("positives"),
+                                            F.lit(model.getNumTrees).alias("rounds"))
 
 
 @register("model_package")
 def q_model_package(spark, d):
-    idx, n, cols = _fold_scores(spark, d)
-    scores = spark.createDataFrame(ml.fit_classifier_folds(idx, n, N_SPLITS, max_iter=TREES, first_only=True)[0],
-                                   ml.CLS_SCHEMA)
+    idx, n, cols = _features(spark, d)
+    scores, cls = ml.fit_classifier_folds(idx, n, N_SPLITS, first_only=True)
+    _, reg = ml.fit_regressor_folds(idx, first_only=True)
     path = scratch_path(spark, "model")
     encoder = idx.select("entity", "entity_index").distinct()
-    model = ml.package(idx.drop("features"), cols, "flood_event", path, max_iter=TREES, encoder=encoder, scores=scores)
-    assert spark.read.json(f"{path}/features").count() == len(cols)
+    model = ml.package(cls[0], cols, path, reg[0], encoder, spark.createDataFrame(scores, ml.CLS_SCHEMA), spark)
     scored = model.transform(idx.drop("features")).select("flood_event", "prediction")
-    return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), F.sum("flood_event").alias("positives"))
+    return (scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), F.sum("flood_event").alias("positives"))
+            .withColumn("features", F.lit(spark.read.json(f"{path}/features").count())))
