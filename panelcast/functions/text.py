@@ -39,8 +39,8 @@ def split_list(c: str | Column, sep: str = ",") -> Column:
 
 
 def null_sentinels(c: str | Column, sentinels: Iterable[str] = NULL_SENTINELS) -> Column:
-    """Map textual null markers (after stripping) to null."""
-    return F.when(strip(c).isin(list(sentinels)), F.lit(None)).otherwise(_c(c))
+    """Map textual null markers to null; a marker with spaces around it is a text."""
+    return F.when(_c(c).isin(list(sentinels)), F.lit(None)).otherwise(_c(c))
 
 
 def coerce_numeric(c: str | Column) -> Column:

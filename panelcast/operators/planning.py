@@ -105,12 +105,25 @@ def allocation_wide(long: DataFrame, e: str = "entity") -> DataFrame:
     return w.select(e, "affected_population", *[F.col(f"`{n}`").alias(WIDE_NAMES[n]) for n in names])
 
 
+def thousands_text(amount: Column) -> Column:
+    """``amount / 1000`` with one decimal, as formatting the double quotient gives it.
+
+    Away from a tie the nearest tenth is that of the whole number.  At 50 of 100 the quotient decides:
+    the binary fraction is compared with the exact one in whole numbers (a fraction's lowest bit is 2^-52
+    or more for quotients of 1 and above), and only quotients that are exact ties go to the even tenth."""
+    amount = amount.cast("bigint")
+    tenths, rest = F.floor(amount / 100).cast("bigint"), F.pmod(amount, F.lit(100))
+    quotient = amount.cast("double") / 1000.0
+    bits = ((quotient - F.floor(quotient)) * F.lit(float(2 ** 52))).cast("bigint") * 20
+    exact = F.pmod(2 * tenths + 1, F.lit(20)) * F.lit(2 ** 52)
+    up = F.when(rest != 50, rest > 50).otherwise((bits > exact) | (bits == exact) & (F.pmod(tenths, F.lit(2)) == 1))
+    t = tenths + up.cast("bigint")
+    return F.concat(F.floor(t / 10).cast("string"), F.lit("."), F.pmod(t, F.lit(10)).cast("string"), F.lit("K"))
+
+
 def quantity_display(amount: Column) -> tuple[Column, Column]:
-    """``x.xK`` above 1000 (half-even on the tenths), else the integer; progress share."""
-    tenths = F.bround(amount.cast("double") / 100.0, 0).cast("bigint")
-    k = F.concat((tenths / 10).cast("bigint").cast("string"), F.lit("."),
-                 (tenths % 10).cast("string"), F.lit("K"))
-    disp = F.when(amount > DISPLAY_THOUSANDS, k).otherwise(amount.cast("string"))
+    """``x.xK`` above 1000, else the integer; progress share."""
+    disp = F.when(amount > DISPLAY_THOUSANDS, thousands_text(amount)).otherwise(amount.cast("string"))
     return disp, F.least(amount.cast("double") / PROGRESS_SCALE, F.lit(1.0))
 
 

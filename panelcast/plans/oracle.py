@@ -380,7 +380,7 @@ SQL: dict[str, str] = {
         max(amount) FILTER (WHERE resource = 'Dry Rations') AS dry_rations_kg
         FROM alloc GROUP BY entity, affected_population""", FORECAST),
     "quantity_display": W(f"""SELECT entity, resource, amount,
-        CASE WHEN amount > 1000 THEN CAST(CAST(round_even(amount / 100.0, 0) AS BIGINT) // 10 AS VARCHAR) || '.' || CAST(CAST(round_even(amount / 100.0, 0) AS BIGINT) % 10 AS VARCHAR) || 'K'
+        CASE WHEN amount > 1000 THEN printf('%.1fK', CAST(amount AS DOUBLE) / 1000.0::DOUBLE)
              ELSE CAST(amount AS VARCHAR) END AS display,
         {R('least(amount / 100000.0, 1.0)', 'progress')} FROM alloc""", FORECAST),
     "risk_tier": W(f"SELECT entity, {R('risk_score', 'risk_score')}, risk_tier FROM riskt", FORECAST),
@@ -467,6 +467,14 @@ SQL: dict[str, str] = {
         r.entity IN (SELECT entity FROM dom) AS in_domain
         FROM recs r WHERE year(r.start_date) = {C.TRACE_YEAR} AND contains(lower(r.districts), '{C.TRACE_NEEDLE}')"""),
     "csv_roundtrip": W(f"SELECT event_id, start_date, state, districts, {R('severity', 'severity')} FROM ev"),
+    "csv_typed": W(f"""SELECT status, count(*) AS n, count(*) FILTER (status = 'good' AND severity IS NULL) AS n_missing,
+        {R("sum(severity) FILTER (status = 'good')", 'sum_severity')}, CAST(0 AS BIGINT) AS n_odd
+        FROM (SELECT severity, CASE WHEN event_id % 23 = 0 THEN 'severity' WHEN event_id % 29 = 0 THEN 'malformed' ELSE 'good' END AS status FROM ev)
+        GROUP BY status"""),
+    "profile_summary": W(" UNION ALL ".join(f"""SELECT '{c}' AS "column", count({c}) AS count, {R(f'avg({c})', 'mean')}, {R(f'stddev_samp({c})', 'std')},
+        {R(f'CAST(min({c}) AS DOUBLE)', 'min')}, {R(f'quantile_cont(CAST({c} AS DOUBLE), 0.25)', 'p25')}, {R(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)', 'p50')},
+        {R(f'quantile_cont(CAST({c} AS DOUBLE), 0.75)', 'p75')}, {R(f'CAST(max({c}) AS DOUBLE)', 'max')} FROM panel"""
+        for c in ("flood_occurrence", "resource_demand_score", "severity", "dfsi", "census_population"))),
     "default_columns": W(f"SELECT entity, year, month, {R('severity', 'severity')}, 0.0::DOUBLE AS duration, NULL::DOUBLE AS area_affected FROM up"),
     "jsonl_scan": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
         array_to_string(list_sort(json_keys(props)), ',') AS property_keys FROM events WHERE event_type <> 'error'""",

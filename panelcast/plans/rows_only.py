@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from panelcast.functions.stats import describe
 from panelcast.operators import metrics as mx
 from panelcast.operators import models as ml
 from panelcast.operators import splits as sx
@@ -21,8 +22,8 @@ from panelcast.plans.catalog import N_SPLITS, r6, register
 from panelcast.session import materialize, scratch_path
 from panelcast.sources import files as fs
 from panelcast.sources import tables as tb
+from panelcast.spec import NULL_SENTINELS
 
-SENTINELS = ("NA", "N/A", "None")
 
 
 @register("csv_roundtrip")
@@ -30,7 +31,7 @@ def q_csv_roundtrip(spark, d):
     """Write the event inventory as headed CSV (blank key header, textual null
     markers), read it back as text and re-type it."""
     ev = tb.event_inventory(spark, d)
-    marker = F.element_at(F.array(*[F.lit(s) for s in SENTINELS]), (F.col("event_id") % 3 + 1).cast("int"))
+    marker = F.element_at(F.array(*[F.lit(s) for s in NULL_SENTINELS]), (F.col("event_id") % len(NULL_SENTINELS) + 1).cast("int"))
     out = ev.select(F.col("event_id").alias(""), "date_text", "state", "districts",
                     F.coalesce(F.col("severity").cast("string"), marker).alias("severity"))
     path = scratch_path(spark, "csv")
@@ -42,6 +43,26 @@ def q_csv_roundtrip(spark, d):
                           coerce_numeric("severity").alias("severity")))
 
 
+@register("csv_typed")
+def q_csv_typed(spark, d):
+    """Event lines with every null marker, unreadable numbers (every 23rd key) and surplus fields
+    (every 29th), read with a declared schema: rows that are good and rejects by reason."""
+    ev = tb.event_inventory(spark, d)
+    marker = F.element_at(F.array(*[F.lit(s) for s in NULL_SENTINELS]), (F.col("event_id") % len(NULL_SENTINELS) + 1).cast("int"))
+    number = F.when(F.col("event_id") % 23 == 0, F.lit("about 3")).otherwise(F.coalesce(F.col("severity").cast("string"), marker))
+    quoted = lambda c: F.concat(F.lit('"'), F.coalesce(F.col(c), F.lit("")), F.lit('"'))
+    line = F.concat_ws(",", F.col("event_id").cast("string"), quoted("date_text"), quoted("state"), number,
+                       F.when((F.col("event_id") % 29 == 0) & (F.col("event_id") % 23 != 0), F.lit("surplus")))
+    path = scratch_path(spark, "lines")
+    ev.select(line.alias("value")).write.mode("overwrite").text(path)
+    good, rejects = fs.read_typed_csv(spark, path, {"event_id": "long", "start_date": "date", "state": "string", "severity": "double"}, header=False)
+    kept = good.select(F.lit("good").alias("status"), "severity", F.col("severity").isNull().alias("missing"), F.lit(False).alias("odd"))
+    lost = rejects.select(F.col("reason").alias("status"), F.lit(None).cast("double").alias("severity"), F.lit(False).alias("missing"),
+                          (F.col("reason") != "malformed").__and__(F.col("value") != "about 3").alias("odd"))
+    return r6(kept.unionByName(lost).groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("missing")).alias("n_missing"),
+                                                           F.sum("severity").alias("sum_severity"), F.count_if(F.col("odd")).alias("n_odd")))
+
+
 @register("default_columns")
 def q_default_columns(spark, d):
     spec, inp = pp.analogue_spec(), pp.analogue_inputs(spark, d)
@@ -136,11 +157,13 @@ def q_report_read(spark, d):
                                            pct(F.col("regressor.avg_mape")).alias("mape_text"))
 
 
+PROFILED = ("flood_occurrence", "resource_demand_score", "severity", "dfsi", "census_population")
+
+
 @register("profile_summary")
 def q_profile_summary(spark, d):
-    p = pp.analogue_panel(spark, d)
-    return p.select("flood_occurrence", "resource_demand_score", "severity", "dfsi", "census_population").summary(
-        "count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
+    """Count, mean, deviation, extremes and exact quartiles of the panel's main columns."""
+    return r6(describe(pp.analogue_panel(spark, d), PROFILED))
 
 
 @register("feature_vector")

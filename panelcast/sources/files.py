@@ -5,17 +5,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from panelcast.functions.text import null_sentinels
+from panelcast.functions.text import coerce_numeric, null_sentinels, parse_day_first, strip
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """Whether Spark can list the path (no private handles, so it works on any session)."""
+    try:
+        spark.read.text(path)
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e.getCondition()):
+            raise
+        return False
 
 
 def read_headed_csv(spark: SparkSession, path: str, key_name: str | None = None,
@@ -31,6 +37,42 @@ def read_headed_csv(spark: SparkSession, path: str, key_name: str | None = None,
     return df
 
 
+INTEGER_RE = r"^[+-]?\d+$"
+CORRUPT = "_corrupt_line"
+
+
+def _typed(name: str, kind: str) -> Column:
+    c = null_sentinels(F.col(name))
+    if kind == "string":
+        return c
+    if kind == "date":
+        return parse_day_first(c)
+    if kind in ("long", "int"):
+        return F.when(strip(c).rlike(INTEGER_RE), strip(c).try_cast(kind))
+    return coerce_numeric(c).cast(kind)
+
+
+def read_typed_csv(spark: SparkSession, path: str, fields: dict[str, str], header: bool = True,
+                   sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """CSV with a declared schema -> (good rows, rejected lines); together they are all lines.
+
+    ``fields``: column name -> string, double, long, int or date (day first), by position.  A
+    line with another number of fields than declared is malformed; a value that is neither a
+    null marker nor readable as its column's type rejects its line.  Rejects: line (as read, or its fields),
+    reason (``malformed`` or the first unreadable column), value (null if malformed)."""
+    schema = ", ".join(f"`{c}` string" for c in [*fields, CORRUPT])
+    text = (spark.read.schema(schema).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    typed = {c: _typed(c, k) for c, k in fields.items()}
+    unread = [F.when(null_sentinels(F.col(c)).isNotNull() & typed[c].isNull(), F.struct(F.lit(c).alias("reason"), F.col(c).alias("value")))
+              for c, k in fields.items() if k != "string"]
+    malformed = F.when(F.col(CORRUPT).isNotNull(), F.struct(F.lit("malformed").alias("reason"), F.lit(None).cast("string").alias("value")))
+    judged = text.withColumn("_why", F.coalesce(malformed, *unread))
+    line = F.coalesce(F.col(CORRUPT), F.concat_ws(sep, *[F.coalesce(F.col(c), F.lit("")) for c in fields]))
+    good = judged.filter(F.col("_why").isNull()).select(*[v.alias(c) for c, v in typed.items()])
+    return good, judged.filter(F.col("_why").isNotNull()).select(line.alias("line"), "_why.reason", "_why.value")
+
+
 def write_headed_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

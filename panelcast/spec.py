@@ -17,8 +17,9 @@ SEASON_OTHER = "Winter"
 # One-hot categories in the order a sorted dummy encoding produces.
 SEASON_CATEGORIES = ("Monsoon", "Post-Monsoon", "Pre-Monsoon", "Winter")
 
-# Null sentinels recognised on text input.
-NULL_SENTINELS = ("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "none", "-", "#N/A")
+# Texts that a headed CSV file's fields are read as null for, compared unstripped.
+NULL_SENTINELS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+                  "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 # Weighted demand score: .3*occurrence + .3*severity/10 + .2*displaced/1000 + .2*fatalities/10
 SCORE_WEIGHTS = {"occurrence": 0.3, "severity": 0.3, "displaced": 0.2, "fatalities": 0.2}
