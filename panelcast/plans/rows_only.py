@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType
 from panelcast.functions.stats import describe
 from panelcast.operators import metrics as mx
 from panelcast.operators import models as ml
+from panelcast.operators import seasonal as sn
 from panelcast.operators import splits as sx
 from panelcast.plans import panel as pp
 from panelcast.plans import targets as tg
@@ -195,6 +196,20 @@ def q_seasonal_regression(spark, d):
     return r6(ml.seasonal_evaluate(t))
 
 
+@register("seasonal_variants")
+def q_seasonal_variants(spark, d):
+    """The three published seasonal models, scored per entity on their last fifth of rows."""
+    panel = pp.analogue_panel(spark, d)
+    both = tg.targets_final(panel)
+    frames = {"final": both, "v2": tg.targets_v2(panel), "v1": both}
+    out = []
+    for name, spec in sn.VARIANTS.items():
+        keep = dict.fromkeys(["entity", "date", spec.target, *spec.regressors])
+        data = materialize(frames[name].select(*keep), f"seasonal-{name}")
+        out.append(sn.seasonal_scores(sn.seasonal_forecasts(data, spec), spec).select(F.lit(name).alias("variant"), "*"))
+    return r6(reduce(lambda a, b: a.unionByName(b), out))
+
+
 @register("feature_importance")
 def q_feature_importance(spark, d):
     """Split counts of the two packaged models, classifier and regressor."""

@@ -62,7 +62,8 @@ def read_typed_csv(spark: SparkSession, path: str, fields: dict[str, str], heade
     reason (``malformed`` or the first unreadable column), value (null if malformed)."""
     schema = ", ".join(f"`{c}` string" for c in [*fields, CORRUPT])
     text = (spark.read.schema(schema).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+            # without pruning, so that a line is judged by all its fields whatever is selected later
+            .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(path))
     typed = {c: _typed(c, k) for c, k in fields.items()}
     unread = [F.when(null_sentinels(F.col(c)).isNotNull() & typed[c].isNull(), F.struct(F.lit(c).alias("reason"), F.col(c).alias("value")))
               for c, k in fields.items() if k != "string"]
