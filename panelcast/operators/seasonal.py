@@ -32,6 +32,9 @@ YEAR_DAYS, YEAR_ORDER = 365.25, 10
 MONTH_DAYS, MONTH_ORDER = 30.5, 5
 #: Prior deviation of waves and regressors, on targets scaled to a maximum of 1.
 WAVE_SCALE = 10.0
+#: The residual deviation counts so many rows of this share of the target's spread, so that a
+#: short series, which the terms can follow exactly, keeps an interval and its penalties.
+PRIOR_ROWS, PRIOR_SHARE = 4, 0.25
 #: Solves of the reweighted penalty; alternations between trend and waves.
 ROUNDS, ALTERNATIONS = 8, 6
 #: Series stacked into one tensor.
@@ -121,7 +124,9 @@ class Fit:
         x = x * w[..., None]
         y = y * w
         n = np.maximum(w.sum(axis=1), 1.0)
-        sigma = np.maximum(np.sqrt(np.square(y).sum(axis=1) / n) * 0.5, 1e-6)
+        middle = y.sum(axis=1) / n
+        spread = np.sqrt(np.maximum(np.square(y).sum(axis=1) / n - middle ** 2, 0.0)) if bent else np.sqrt(np.square(y).sum(axis=1) / n)
+        sigma = np.maximum(0.5 * spread, 1e-6)
         size = np.full((len(y), x.shape[2]), 1.0)
         for _ in range(ROUNDS):
             penalty = np.zeros_like(size)
@@ -130,7 +135,8 @@ class Fit:
             penalty[:, bent:] = 1.0 / WAVE_SCALE ** 2
             size = _solve(x, y, penalty * np.square(sigma)[:, None])
             rest = y - np.einsum("elp,ep->el", x, size)
-            sigma = np.maximum(np.sqrt(np.square(rest).sum(axis=1) / n), 1e-6)
+            sigma = np.sqrt((np.square(rest).sum(axis=1) + PRIOR_ROWS * np.square(PRIOR_SHARE * spread)) / (n + PRIOR_ROWS))
+            sigma = np.maximum(sigma, 1e-6)
         return size, sigma
 
     def predict(self) -> tuple[np.ndarray, np.ndarray]:
