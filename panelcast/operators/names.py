@@ -1,19 +1,24 @@
 """Place-name handling: canonical names, domain membership and substring matching.
 
-Substring ("either name contains the other") matching is a theta join.  Instead
-of a nested-loop join it is rewritten as an exact equi-join: a text contains a
-candidate of length L iff one of its length-L substrings equals the candidate, so
-each text emits its substrings of the candidate lengths and the match becomes a
-hash join on the substring.  The set of distinct candidate lengths is small and
-bounded by the longest name; everything else stays partitioned.
+Substring ("either name contains the other") matching is a theta join.  Instead of a
+nested-loop join, distinct candidates go into Aho-Corasick automata and the texts stream past
+them: a text is read once for all candidates of an automaton, and rows are made for matches
+only.  An automaton holds ``SHARD_CHARS`` characters of candidates at most (its broadcast is
+bounded by that, however many candidates there are); more candidates make more passes over
+the texts, one automaton after another.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.text import strip, title_case
+from panelcast.session import materialize
+
+#: Characters of candidates in one automaton.
+SHARD_CHARS = 400_000
 
 
 def canonical_name(c: str | Column, alias: dict[str, str]) -> Column:
@@ -37,33 +42,44 @@ def in_domain(df: DataFrame, domain: DataFrame, entity_col: str = "entity") -> D
     return df.join(domain.select(entity_col), entity_col, "left_semi")
 
 
-def _distinct_lengths(df: DataFrame, col: str) -> list[int]:
-    # Bounded by the longest candidate name; a handful of integers.
-    return sorted(r[0] for r in df.select(F.length(col)).distinct().collect() if r[0] is not None)
-
-
-def _windows(text: Column, n: int) -> Column:
-    """All length-n substrings of ``text`` (empty when the text is shorter)."""
-    if n == 0:
-        return F.array(F.lit(""))
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - F.lit(n) + 1, F.lit(1)))
-    subs = F.transform(starts, lambda i: F.substring(text, i, n))
-    return F.when(F.length(text) >= F.lit(n), subs).otherwise(F.array().cast("array<string>"))
-
-
-def substrings(text: Column, lengths: list[int]) -> Column:
-    """Distinct substrings of ``text`` with the given lengths (length 0 gives '')."""
-    if not lengths:
-        return F.array().cast("array<string>")
-    return F.array_distinct(F.flatten(F.array(*[_windows(text, n) for n in lengths])))
-
-
-def contains_pairs(texts: DataFrame, text_col: str, cands: DataFrame, cand_col: str) -> DataFrame:
-    """All (text, candidate) pairs where the text contains the candidate (exact)."""
-    lengths = _distinct_lengths(cands, cand_col)
-    keyed = texts.select(text_col, F.explode(substrings(F.col(text_col), lengths)).alias("_sub"))
-    return (keyed.join(cands.select(F.col(cand_col).alias("_sub"), cand_col), "_sub")
-            .select(text_col, cand_col))
+def _containing(batches, automaton, has_empty: bool):
+    """(text, candidate) of every candidate that occurs in a text, once a pair."""
+    for batch in batches:
+        texts, found = [], []
+        for t in batch.column(0).to_pylist():
+            hits = {c for _, c in automaton.iter(t)} if len(automaton) and t else set()
+            if has_empty:
+                hits.add("")
+            texts += [t] * len(hits)
+            found += sorted(hits)
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(found, pa.string())], ["text", "cand"])
+
+
+def contains_pairs(texts: DataFrame, text_col: str, cands: DataFrame, cand_col: str, shard_chars: int = SHARD_CHARS) -> DataFrame:
+    """All (text, candidate) pairs where the text contains the candidate (exact, distinct pairs
+    of each text row; nulls match nothing, the empty candidate every text)."""
+    import ahocorasick
+    spark = texts.sparkSession
+    names = cands.select(F.col(cand_col).alias("c")).where(F.col("c").isNotNull()).distinct()
+    total = names.agg(F.sum(F.length("c") + 1)).first()[0] or 0
+    shards = -(-total // shard_chars)
+    rows = texts.select(F.col(text_col).cast("string").alias("t")).where(F.col("t").isNotNull())
+    if shards > 1:
+        names, rows = materialize(names, "names"), materialize(rows, "texts")
+    out = spark.createDataFrame([], "text string, cand string")
+    for k in range(shards):
+        own = names if shards == 1 else names.where(F.pmod(F.xxhash64("c"), F.lit(shards)) == k)
+        automaton = ahocorasick.Automaton()
+        words = own.toArrow()["c"].to_pylist()
+        for w in words:
+            if w:
+                automaton.add_word(w, w)
+        if len(automaton):
+            automaton.make_automaton()
+        shared = spark.sparkContext.broadcast(automaton)
+        found = rows.mapInArrow(lambda batches, s=shared, e="" in words: _containing(batches, s.value, e), "text string, cand string")
+        out = found if shards == 1 else out.unionByName(found)
+    return out.select(F.col("text").alias(text_col), F.col("cand").alias(cand_col))
 
 
 def theta_match_counts(parts: DataFrame, part_col: str, domain: DataFrame,
