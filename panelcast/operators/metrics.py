@@ -112,3 +112,25 @@ def fold_summary(cls: DataFrame, reg: DataFrame) -> DataFrame:
                 F.count(mae_ok).alias("n_folds_used"))
     return (out.withColumn("roc_gate", F.col("avg_roc_auc") >= GATE_ROC_AUC)
             .withColumn("mape_gate", F.coalesce(F.col("avg_mape") < GATE_MAPE, F.lit(False))))
+
+
+def classifier_folds(scored: DataFrame, fold: str = "fold", score: str = "score", label: str = "label") -> DataFrame:
+    """Report rows of the classifier: roc_auc, pr_auc, f1 (at 0.5), n_pos_train (positives of all
+    earlier rows) and n_pos_val of each fold with validation positives; a null fold only trains."""
+    counts = scored.groupBy(fold).agg(F.sum(label).alias("n_pos_val"))
+    # one row a fold: the running sum over them is bounded by the number of folds
+    w = Window.orderBy(F.coalesce(fold, F.lit(-1))).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("n_pos_train", F.coalesce(F.sum("n_pos_val").over(w), F.lit(0))).where(F.col(fold).isNotNull() & (F.col("n_pos_val") > 0))
+    rows = scored.where(F.col(fold).isNotNull()).withColumn("_pred", (F.col(score) > 0.5).cast("int"))
+    return (roc_auc(rows, fold, score, label).join(pr_auc(rows, fold, score, label), fold)
+            .join(confusion_metrics(rows, fold, "_pred", label).select(fold, "f1"), fold)
+            .join(counts, fold)
+            .select(fold, "roc_auc", "pr_auc", "f1", F.col("n_pos_train").cast("bigint").alias("n_pos_train"),
+                    F.col("n_pos_val").cast("bigint").alias("n_pos_val")))
+
+
+def dataset_section(targets: DataFrame, e: str = "entity") -> DataFrame:
+    """records, entities, event rate, positive samples and date range of a panel with targets."""
+    return targets.agg(F.count(F.lit(1)).alias("records"), F.countDistinct(e).alias("entities"),
+                       F.avg("flood_event").alias("flood_event_rate"), F.count_if(F.col("demand_target") > 0).alias("positive_demand_samples"),
+                       F.concat_ws(" to ", F.min("date").cast("string"), F.max("date").cast("string")).alias("date_range"))

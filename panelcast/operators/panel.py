@@ -81,19 +81,22 @@ def upsert(cal: DataFrame, cells: DataFrame, spec: PanelSpec) -> DataFrame:
                     *[F.coalesce(_numeric(c, types.get(c, StringType())), F.lit(0.0)).alias(c) for c in m])
 
 
-def unmatched_events(cells: DataFrame, cal: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Event records whose (entity, year, month) has no calendar cell."""
-    return cells.join(cal.select(spec.entity_col, "year", "month"),
-                      [spec.entity_col, "year", "month"], "left_anti")
+def _in_calendar(spec: PanelSpec) -> F.Column:
+    """Whether a record's month is one of the calendar's; false for a missing date."""
+    inside = first_of_month("year", "month").between(F.to_date(F.lit(spec.start)), F.to_date(F.lit(spec.end)))
+    return F.coalesce(inside, F.lit(False))
 
 
-def merge_reconciliation(cells: DataFrame, cal: DataFrame, spec: PanelSpec) -> DataFrame:
+def unmatched_events(cells: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Event records whose (entity, year, month) has no calendar cell.  ``event_cells`` keeps the
+    domain's entities only and each has every month, so this is a filter: nothing is shuffled."""
+    return cells.where(~_in_calendar(spec))
+
+
+def merge_reconciliation(cells: DataFrame, spec: PanelSpec) -> DataFrame:
     """matched / total / failed counts of event records against the calendar."""
-    keys = cal.select(spec.entity_col, "year", "month").withColumn("_hit", F.lit(1))
-    j = cells.join(keys, [spec.entity_col, "year", "month"], "left")
-    return j.agg(F.count(F.lit(1)).alias("total"),
-                 F.count_if(F.col("_hit").isNotNull()).alias("matched"),
-                 F.count_if(F.col("_hit").isNull()).alias("failed"))
+    return cells.agg(F.count(F.lit(1)).alias("total"), F.count_if(_in_calendar(spec)).alias("matched"),
+                     F.count_if(~_in_calendar(spec)).alias("failed"))
 
 
 def dedupe_last(df: DataFrame, key: F.Column, order_col: str, cols: list[str], key_name: str) -> DataFrame:

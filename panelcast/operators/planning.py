@@ -47,11 +47,20 @@ def horizon(profile_or_panel: DataFrame, e: str = "entity", steps: int = HORIZON
 
 def seasonal_forecast(panel: DataFrame, e: str = "entity", steps: int = HORIZON) -> DataFrame:
     """Probability = historical mean for that calendar month (0 if never seen);
-    expected demand scaled by the month's relative severity; heuristic bands."""
-    prof = month_profile(panel, e)
-    ent = prof.select(e, "max_month_sev", "mean_score", "last_date").distinct()
-    h = horizon(ent, e, steps).join(ent, e)
-    f = h.join(prof.select(e, "month", "month_prob", "month_sev"), [e, "month"], "left")
+    expected demand scaled by the month's relative severity; heuristic bands.
+
+    One pass: months are reduced to an entity's map of at most 12 entries, the horizon is
+    generated from it; the panel is neither read twice nor joined to itself."""
+    months = panel.groupBy(e, "month").agg(
+        F.avg("flood_occurrence").alias("month_prob"), F.avg("severity").alias("month_sev"),
+        F.sum("resource_demand_score").alias("_ssum"), F.count("resource_demand_score").alias("_scnt"), F.max("date").alias("_last"))
+    seen = F.map_from_entries(F.collect_list(F.struct("month", F.struct("month_prob", "month_sev"))))
+    ent = months.groupBy(e).agg(seen.alias("_seen"), F.greatest(F.max("month_sev"), F.lit(1.0)).alias("max_month_sev"),
+                                (F.sum("_ssum") / F.sum("_scnt")).alias("mean_score"), F.max("_last").alias("last_date"))
+    h = ent.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps)))).withColumn("date", F.add_months("last_date", F.col("step")))
+    h = h.withColumn("month", F.month("date"))
+    f = h.withColumn("_m", F.try_element_at("_seen", F.col("month"))).withColumns(
+        {"month_prob": F.col("_m.month_prob"), "month_sev": F.col("_m.month_sev")})
     p = F.coalesce("month_prob", F.lit(0.0))
     sev = F.coalesce("month_sev", F.lit(0.0))
     demand = (F.when(_q(p) > DEMAND_PROB_THRESHOLD, F.col("mean_score") * (1 + sev / F.col("max_month_sev")))
@@ -138,11 +147,12 @@ def forecast_risk(forecast: DataFrame, e: str = "entity") -> DataFrame:
 
 
 def trailing_events(panel: DataFrame, e: str = "entity", years: int = 5) -> DataFrame:
-    """Event months in the ``years`` before each entity's last date (inclusive)."""
-    last = panel.groupBy(e).agg(F.max("date").alias("_last"))
-    return (panel.join(last, e)
-            .groupBy(e).agg(F.count_if((F.col("date") >= F.add_months("_last", -12 * years))
-                                       & (F.col("flood_occurrence") > 0)).alias("events_5yr")))
+    """Event months in the ``years`` before each entity's last date (inclusive); one aggregate, in
+    which an entity's event months are bounded by the calendar."""
+    ent = panel.groupBy(e).agg(F.max("date").alias("_last"),
+                               F.collect_list(F.when(F.col("flood_occurrence") > 0, F.col("date"))).alias("_dates"))
+    recent = F.filter("_dates", lambda d: d >= F.add_months(F.col("_last"), -12 * years))
+    return ent.select(e, F.size(recent).cast("bigint").alias("events_5yr"))
 
 
 def kpi_row(forecast: DataFrame, panel: DataFrame, today: str, horizon_days: int = 14,

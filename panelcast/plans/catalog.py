@@ -14,6 +14,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from panelcast.functions import calendar as cal
 from panelcast.functions import text as tx
+from panelcast.session import materialize
 from panelcast.operators import features as fx
 from panelcast.operators import metrics as mx
 from panelcast.operators import names as nm
@@ -184,8 +185,14 @@ def _cells(inp, spec):
 @register("unmatched_anti")
 def q_unmatched_anti(spark, d):
     spec, inp = _setup(spark, d)
-    c = px.calendar(pp.domain_of(inp, spec), spec)
-    return px.unmatched_events(_cells(inp, spec), c, spec).select("entity", "year", "month", "event_seq")
+    return px.unmatched_events(_cells(inp, spec), spec).select("entity", "year", "month", "event_seq")
+
+
+@register("merge_reconciliation")
+def q_merge_reconciliation(spark, d):
+    """How many event records found their calendar cell."""
+    spec, inp = _setup(spark, d)
+    return px.merge_reconciliation(_cells(inp, spec), spec)
 
 
 @register("theta_name_match")
@@ -384,8 +391,7 @@ def q_history_forecast_union(spark, d):
 @register("top_risk_entities")
 def q_top_risk_entities(spark, d):
     _, f = _forecast(spark, d)
-    r = pl.forecast_risk(f).withColumn("_k", F.round("risk_score", 9))
-    return r6(r.orderBy(F.desc("_k"), "entity").limit(3).drop("_k"))
+    return r6(pl.top_risk(f, 3))
 
 
 @register("escalation_flags")
@@ -438,8 +444,9 @@ def q_class_weights(spark, d):
     return r6(mx.class_weights(sx.fold_label_counts(_panel_folds(spark, d), "flood_event", N_SPLITS)))
 
 
-def _scored_orders(spark, d):
-    """Deterministic scores and predictions on every order, in date-ordered folds."""
+def _scored_orders(spark, d, all_rows=False):
+    """Deterministic scores and predictions on every order, in date-ordered folds; ``all_rows``
+    keeps the rows before the first fold, which only train."""
     o = tb.read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice")
     label = (F.col("o_orderstatus") == "F").cast("int")
     score = ((F.col("o_orderkey") % 97) + F.when(F.col("o_orderstatus") == "F", 35).otherwise(0)) / 132.0
@@ -449,7 +456,8 @@ def _scored_orders(spark, d):
                  score.alias("score"), y.alias("y_true"), pred.alias("y_pred"))
     idx = sx.global_row_index(s, ["odate", "o_orderkey"])
     n = idx.count()
-    return sx.expanding_folds(idx, n, N_SPLITS).where(F.col("val_fold").isNotNull()).withColumnRenamed("val_fold", "fold")
+    folds = sx.expanding_folds(idx, n, N_SPLITS).withColumnRenamed("val_fold", "fold")
+    return folds if all_rows else folds.where(F.col("fold").isNotNull())
 
 
 @register("metric_regression")
@@ -475,12 +483,25 @@ def q_metric_classification(spark, d):
 
 @register("fold_summary")
 def q_fold_summary(spark, d):
-    s = _scored_orders(spark, d).cache()
+    s = materialize(_scored_orders(spark, d), "scored")
     cls = mx.roc_auc(s, "fold", "score", "label").join(mx.pr_auc(s, "fold", "score", "label"), "fold")
     reg = mx.regression_metrics(s, "fold", "y_true", "y_pred")
     return r6(mx.fold_summary(cls, reg))
 
 
+@register("report_dataset")
+def q_report_dataset(spark, d):
+    """The report's dataset section, from the panel with targets."""
+    return r6(mx.dataset_section(tg.targets_final(pp.analogue_panel(spark, d))))
+
+
+@register("report_folds")
+def q_report_folds(spark, d):
+    """The report's classifier folds: F1 and class counts next to the curves' areas."""
+    s = _scored_orders(spark, d, all_rows=True)
+    return r6(mx.classifier_folds(s))
+
+
 # ---- quality reports ----------------------------------------------------------------------
 
 @register("source_counts")

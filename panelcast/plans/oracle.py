@@ -343,6 +343,18 @@ SQL: dict[str, str] = {
         {R('a.population', 'population')}, {R('a.mean_flood_duration', 'mean_flood_duration')}
         FROM up u LEFT JOIN attrs a ON u.entity = a.entity"""),
     "census_lookup": W(f"SELECT entity, {R('census_population', 'census_population')}, {R('households', 'households')}, {R('rural_hh', 'rural_hh')}, {R('urban_hh', 'urban_hh')} FROM attrs"),
+    "merge_reconciliation": W("""SELECT count(*) AS total, count(k.entity) AS matched, count(*) - count(k.entity) AS failed
+        FROM cells c LEFT JOIN cal k ON k.entity = c.entity AND k.year = c.year AND k.month = c.month"""),
+    "report_dataset": W(f"""SELECT count(*) AS records, count(DISTINCT entity) AS entities, {R('avg(flood_event)', 'flood_event_rate')},
+        count(*) FILTER (WHERE demand_target > 0) AS positive_demand_samples,
+        CAST(min(date) AS DATE)::VARCHAR || ' to ' || CAST(max(date) AS DATE)::VARCHAR AS date_range FROM tfin""", TARGETS),
+    "report_folds": W(f"""SELECT f.fold, {R('roc_auc', 'roc_auc')}, {R('pr_auc', 'pr_auc')},
+        {R('2.0 * tp / (2 * tp + fp + fn)', 'f1')},
+        (SELECT CAST(sum(label) AS BIGINT) FROM soi WHERE row_idx < n - ({C.N_SPLITS} - f.fold) * (n // {C.N_SPLITS + 1})) AS n_pos_train,
+        n_pos_val
+        FROM (SELECT fold, CAST(sum(label) AS BIGINT) AS n_pos_val, count(*) FILTER (WHERE score > 0.5 AND label = 1) AS tp,
+                     count(*) FILTER (WHERE score > 0.5 AND label = 0) AS fp, count(*) FILTER (WHERE score <= 0.5 AND label = 1) AS fn
+              FROM sof GROUP BY fold HAVING sum(label) > 0) f JOIN roc USING (fold) JOIN pr USING (fold)""", ORDERS_FOLDS),
     "unmatched_anti": W("SELECT c.entity, c.year, c.month, c.event_seq FROM cells c WHERE NOT EXISTS (SELECT 1 FROM cal k WHERE k.entity = c.entity AND k.year = c.year AND k.month = c.month)"),
     "theta_name_match": W("""SELECT d.entity, CAST(count(p.p) AS BIGINT) AS n_matches FROM dom d
         LEFT JOIN (SELECT lower(part) AS p FROM recs) p ON contains(p.p, lower(d.entity)) OR contains(lower(d.entity), p.p)

@@ -17,6 +17,7 @@ from panelcast.operators import panel as px
 from panelcast.operators.names import entity_domain
 from panelcast.session import materialize
 from panelcast.sources import tables
+from panelcast.sources.panel_table import stored_panel
 from panelcast.spec import PanelSpec
 
 PANEL_COLUMNS = [
@@ -123,4 +124,8 @@ def feature_panel(inp: PanelInputs, spec: PanelSpec, leak_free: bool = False,
 
 
 def analogue_panel(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return feature_panel(analogue_inputs(spark, sf_dir), analogue_spec(), **kw)
+    """The panel of the test tables, read from its laid-out table while the tables' files stay the same."""
+    spec = analogue_spec()
+    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables.PANEL_TABLES]
+    return stored_panel(spark, paths, repr((spec, sorted(kw.items()))),
+                        lambda: feature_panel(analogue_inputs(spark, sf_dir), spec, **kw)).select(*PANEL_COLUMNS)

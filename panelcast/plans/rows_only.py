@@ -104,21 +104,24 @@ def _features(spark, d):
 
 @register("report_write")
 def q_report_write(spark, d):
-    """Nested report (classifier folds, regressor folds, dataset facts) written as JSON
-    and read back."""
-    s = _scored_orders_frame(spark, d)
-    cls = mx.roc_auc(s, "fold", "score", "label").join(mx.pr_auc(s, "fold", "score", "label"), "fold")
-    reg = mx.regression_metrics(s, "fold", "y_true", "y_pred")
+    """Nested report (classifier folds with F1 and class counts, regressor folds, seasonal summary,
+    dataset section) written as JSON and read back."""
+    s = materialize(_scored_orders_frame(spark, d), "report-scores")
+    valid = s.where(F.col("fold").isNotNull())
+    cls = materialize(mx.classifier_folds(s), "report-folds")
+    reg = mx.regression_metrics(valid, "fold", "y_true", "y_pred")
     summ = mx.fold_summary(cls, reg).first()
     folds = cls.join(reg, "fold", "full")  # at most one row per fold
-    cls_s = F.when(F.col("roc_auc").isNotNull(), F.struct("fold", "roc_auc", "pr_auc"))
+    cls_s = F.when(F.col("roc_auc").isNotNull(), F.struct("fold", "roc_auc", "pr_auc", "f1", "n_pos_train", "n_pos_val"))
     reg_s = F.when(F.col("mae").isNotNull(), F.struct("fold", "mae", "rmse", "mape", "n_val"))
+    dataset = mx.dataset_section(tg.targets_final(pp.analogue_panel(spark, d))).first()
     rep = (folds.agg(F.sort_array(F.collect_list(cls_s)).alias("c"), F.sort_array(F.collect_list(reg_s)).alias("r"))
            .select(F.struct(F.lit(summ["avg_roc_auc"]).alias("avg_roc_auc"), F.lit(summ["avg_pr_auc"]).alias("avg_pr_auc"),
                             F.lit(summ["n_valid_folds"]).alias("n_valid_folds"), F.col("c").alias("fold_scores")).alias("classifier"),
                    F.struct(F.lit(summ["avg_mae"]).alias("avg_mae"), F.lit(summ["median_mae"]).alias("median_mae"),
                             F.lit(summ["avg_mape"]).cast(DoubleType()).alias("avg_mape"),
-                            F.lit(summ["n_folds_used"]).alias("n_folds_used"), F.col("r").alias("fold_scores")).alias("regressor")))
+                            F.lit(summ["n_folds_used"]).alias("n_folds_used"), F.col("r").alias("fold_scores")).alias("regressor"),
+                   F.struct(*[F.lit(dataset[c]).alias(c) for c in dataset.__fields__]).alias("dataset")))
     path = scratch_path(spark, "report")
     seas = _seasonal_section(spark, d, f"{path}-per-entity").first()["seasonal"]
     rep = rep.withColumn("seasonal", F.struct(F.lit(seas["avg_mae"]).cast(DoubleType()).alias("avg_mae"),
@@ -142,7 +145,7 @@ def _seasonal_section(spark, d, per_entity_path: str | None = None):
 
 def _scored_orders_frame(spark, d):
     from panelcast.plans.catalog import _scored_orders
-    return _scored_orders(spark, d)
+    return _scored_orders(spark, d, all_rows=True)
 
 
 @register("report_read")

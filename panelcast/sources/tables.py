@@ -29,18 +29,13 @@ ANALOGUE_ALIAS = {"Supplier_7": "Supplier_Seven", "Supplier_13": "Supplier_Thirt
 IMPACT_REGION_PATTERN = "A"
 
 
-_HANDLES: dict = {}
+#: The tables that the panel is made from.
+PANEL_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table's DataFrame, resolved once per session (file listing and footer
-    schema are read once; the data is read by each query that runs)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _HANDLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _HANDLES[key] = spark.read.parquet(path)
-    return df
+    """The table as its files are now (a table that is rewritten in place is listed anew)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def place_label(key: Column) -> Column:

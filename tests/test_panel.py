@@ -78,9 +78,9 @@ def test_outside_calendar_is_reported_not_merged(spark, domain):
             (3, 3, dt.date(2000, 6, 1), "x", "Puri", "1", None, None, None)]
     p, cells = build(spark, domain, rows)
     cal = px.calendar(domain, SPEC)
-    un = px.unmatched_events(cells, cal, SPEC)
+    un = px.unmatched_events(cells, SPEC)
     assert sorted(r.year for r in un.collect()) == [1999, 2024]
-    rec = px.merge_reconciliation(cells, cal, SPEC).first()
+    rec = px.merge_reconciliation(cells, SPEC).first()
     assert (rec.total, rec.matched, rec.failed) == (3, 1, 2)
     assert p.agg(F.sum("flood_occurrence")).first()[0] == 1
 
