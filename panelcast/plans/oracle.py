@@ -311,6 +311,11 @@ EXPLODE_RAW = "ev_parts AS (SELECT event_id, unnest(string_split(districts, ',')
 
 ALIAS_ROWS = ", ".join(f"('{c}', '{a}', {i + 1})" for i, (a, c) in enumerate(SPEC.alias.items()))
 
+EVENT_DOCUMENTS = """docs AS (SELECT event_type, json_extract(rec, '$') AS doc FROM (SELECT event_type,
+          '{"event_id": ' || event_id || ', "properties": {"detail": ' || props || ', "tags": ' || CASE WHEN event_id % 3 = 0 THEN '[]' ELSE '["a", "' || event_type || '"]' END
+          || '}, "geometry": ' || CASE WHEN event_id % 5 = 0 THEN 'null' ELSE '{"type": "Point", "coordinates": [' || event_id % 360 || ', ' || event_id % 90 || '.5]}' END || '}' AS rec
+          FROM events) WHERE event_type <> 'error')"""
+
 SQL: dict[str, str] = {
     "event_explode": W(f"""SELECT event_id, pos, part, entity, year, month, event_seq,
         {R('severity', 'severity')}, {R('fatalities', 'fatalities')}, {R('displaced', 'displaced')}, {R('duration', 'duration')}
@@ -488,6 +493,17 @@ SQL: dict[str, str] = {
         {R(f'quantile_cont(CAST({c} AS DOUBLE), 0.75)', 'p75')}, {R(f'CAST(max({c}) AS DOUBLE)', 'max')} FROM panel"""
         for c in ("flood_occurrence", "resource_demand_score", "severity", "dfsi", "census_population"))),
     "default_columns": W(f"SELECT entity, year, month, {R('severity', 'severity')}, 0.0::DOUBLE AS duration, NULL::DOUBLE AS area_affected FROM up"),
+    "json_paths": "WITH " + EVENT_DOCUMENTS + """
+        SELECT regexp_replace(t.fullkey, '\\[[0-9]+\\]', '[]', 'g') AS path,
+               CASE WHEN t.type IN ('OBJECT', 'ARRAY', 'BOOLEAN', 'NULL') THEN lower(t.type) WHEN t.type = 'VARCHAR' THEN 'string' ELSE 'number' END AS kind,
+               count(*) AS n FROM docs, json_tree(doc) t GROUP BY 1, 2
+        UNION ALL SELECT '', 'malformed', count(*) FROM events WHERE event_type = 'error'""",
+    "json_fields": "WITH " + EVENT_DOCUMENTS + f"""
+        SELECT CAST(doc->>'$.event_id' AS BIGINT) AS event_id, CAST(doc->>'$.properties.detail.k' AS BIGINT) AS k, doc->>'$.properties.tags[1]' AS second_tag,
+               doc->>'$.geometry.type' AS shape, {R("CAST(doc->>'$.geometry.coordinates[0]' AS DOUBLE)", 'lon')}, doc->>'$.properties.none' AS absent FROM docs""",
+    "file_order_last": W("SELECT state, event_id, date_text FROM (SELECT state, event_id, strftime(start_date, '%-d/%-m/%Y') AS date_text, row_number() OVER (PARTITION BY state ORDER BY event_id DESC) AS k FROM ev) WHERE k = 1"),
+    "source_profile_exact": W(" UNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) - count({c}) AS n_nulls, CAST(min({c}) AS VARCHAR) AS least FROM ev"""
+                              for c in ("event_id", "start_date", "state", "districts", "fatalities"))),
     "jsonl_scan": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
         array_to_string(list_sort(json_keys(props)), ',') AS property_keys FROM events WHERE event_type <> 'error'""",
     "panel_sink": W(f"SELECT {sel(PANEL_COLS, PANEL_DOUBLES)} FROM panel"),

@@ -22,6 +22,8 @@ from panelcast.plans import targets as tg
 from panelcast.plans.catalog import N_SPLITS, r6, register
 from panelcast.session import materialize, scratch_path
 from panelcast.sources import files as fs
+from panelcast.sources import json_values as jv
+from panelcast.sources import profile as pf
 from panelcast.sources import tables as tb
 from panelcast.spec import NULL_SENTINELS
 
@@ -94,6 +96,65 @@ def q_jsonl_scan(spark, d):
     return back.select("event_id", "properties.k", keys.alias("property_keys"))
 
 
+@register("json_paths")
+def q_json_paths(spark, d):
+    """Event records with nested properties and a geometry, some truncated, read without a
+    schema: every key at any depth with its kinds, and the number of lines that are no JSON."""
+    docs, bad = _event_documents(spark, d)
+    return jv.list_paths(docs).unionByName(bad.agg(F.lit("").alias("path"), F.lit("malformed").alias("kind"), F.count(F.lit(1)).alias("n")))
+
+
+@register("json_fields")
+def q_json_fields(spark, d):
+    """Fields of the same documents by their paths; an absent path gives null."""
+    docs, _ = _event_documents(spark, d)
+    return r6(docs.select(jv.field("$.event_id", "long").alias("event_id"), jv.field("$.properties.detail.k", "long").alias("k"),
+                          jv.field("$.properties.tags[1]", "string").alias("second_tag"), jv.field("$.geometry.type", "string").alias("shape"),
+                          jv.field("$.geometry.coordinates[0]", "double").alias("lon"), jv.field("$.properties.none", "string").alias("absent")))
+
+
+def _event_documents(spark, d):
+    e = tb.read(spark, d, "events")
+    tags = F.when(F.col("event_id") % 3 == 0, F.lit("[]")).otherwise(F.concat(F.lit('["a", "'), F.col("event_type"), F.lit('"]')))
+    geometry = F.when(F.col("event_id") % 5 == 0, F.lit("null")).otherwise(F.concat(
+        F.lit('{"type": "Point", "coordinates": ['), (F.col("event_id") % 360).cast("string"), F.lit(", "), (F.col("event_id") % 90).cast("string"), F.lit(".5]}")))
+    rec = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "properties": {"detail": '), F.col("props"),
+                   F.lit(', "tags": '), tags, F.lit('}, "geometry": '), geometry, F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.lit("}")))
+    path = scratch_path(spark, "documents")
+    e.select(rec.alias("value")).write.mode("overwrite").text(path)
+    return jv.read_json_values(spark, path)
+
+
+@register("file_order_last")
+def q_file_order_last(spark, d):
+    """Events written to several CSV files in key order; the last line of each state wins."""
+    ev = tb.event_inventory(spark, d).select("state", "event_id", "date_text")
+    path = scratch_path(spark, "ordered")
+    ev.repartitionByRange(5, "event_id").sortWithinPartitions("event_id").write.mode("overwrite").csv(path)
+    back = fs.with_file_order(spark.read.schema("state string, event_id long, date_text string").csv(path))
+    return fs.last_by_file_order(back, ["state"])
+
+
+def _profiles(spark, d):
+    """Sketches of the event inventory by batch (a year is one), stored, then merged."""
+    ev = tb.event_inventory(spark, d).select("event_id", "start_date", "state", "districts", "severity", "fatalities")
+    years = [r[0] for r in ev.select(F.year("start_date").alias("y")).distinct().orderBy("y").collect()]
+    batches = [pf.sketch(ev.where(F.year("start_date") == y)) for y in years]
+    return pf.read_profile(pf.merge(materialize(reduce(lambda a, b: a.unionByName(b), batches), "profiles")))
+
+
+@register("source_profile")
+def q_source_profile(spark, d):
+    return _profiles(spark, d)
+
+
+@register("source_profile_exact")
+def q_source_profile_exact(spark, d):
+    """The exact part of the merged profile."""
+    return _profiles(spark, d).select("column", "n_rows", "n_nulls", F.when(F.col("kind") == "bigint", F.col("least").cast("double").cast("bigint").cast("string"))
+                                      .otherwise(F.col("least")).alias("least")).where(F.col("column") != "severity")
+
+
 def _features(spark, d):
     """Feature frame with its time-ordered row index (written once), row count, feature names."""
     t = tg.targets_final(pp.analogue_panel(spark, d))

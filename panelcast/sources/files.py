@@ -108,6 +108,24 @@ def read_panel(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def with_file_order(df: DataFrame, out: str = "file_seq") -> DataFrame:
+    """Adds the place of each row in its files: (file, block, row), ordered as one reader going
+    through the files by name sees them.
+
+    A block is read by one task in order, so ids that grow inside a task order its rows, however
+    blocks are dealt to tasks and executors; call it on the scan, before any shuffle."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"))
+    return df.select("*", place.alias(out))
+
+
+def last_by_file_order(df: DataFrame, keys: Sequence[str], seq: str = "file_seq") -> DataFrame:
+    """The last row of each key in file order (a row that comes later overwrites earlier ones)."""
+    rest = [c for c in df.columns if c not in keys and c != seq]
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), seq).alias("_row"))
+    return last.select(*keys, "_row.*")
+
+
 def ensure_columns(df: DataFrame, defaults: dict) -> DataFrame:
     """Add a column with its default only when it is absent (existing nulls stay)."""
     out = df
