@@ -6,8 +6,9 @@ words among them, the share of its characters inside links, and where it stands.
 
 Pass 1 decides each block on its own:
 
-* bad: inside menus, headers, footers, sidebars, forms, notices, adverts or reader comments
-  (by tag, role, class or id), or with most characters inside links;
+* bad: inside menus, headers, footers, sidebars, notices, adverts or reader comments (by tag,
+  role, class or id; inside an article only by names made of such words alone), short and
+  inside a form, or outside an article with most characters inside links;
 * good: inside ``article`` or ``main``; elsewhere if long with enough stop words;
 * bad: elsewhere if long with hardly any stop word;
 * good: elsewhere if long, on pages whose text as a whole (outside the bad parts) has too few stop
@@ -47,12 +48,15 @@ RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe",
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
-BAD_TAGS = frozenset("nav footer aside form head menu dialog fieldset".split())
+BAD_TAGS = frozenset("nav footer aside head menu dialog fieldset".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 BAD_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies
 consent gdpr notice notices alert popup modal overlay nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars footer
 comment comments disqus reply replies respond discussion newsletter subscribe subscription signup login share sharing social related
 recommended recommendations widget widgets toolbar pagination pager copyright disclaimer""".split())
+#: Words that may stand beside one of these in a name that is bad inside an article, too.
+PLAIN_NAMES = frozenset("""area bar bars block bottom box button buttons container content first footer form group header inner item items last left
+link links list outer right row section slot small text top unit wrap wrapper""".split())
 STOP_WORDS = frozenset("""the of and to in is that it for on with as was be by this are from at or an have not he his but they which you
 der die und das ist von den des nicht mit dem ein eine sich auf für als im zu auch an es er sie so wie bei oder aus
 le la les de des et est que qui dans en un une du pour par sur pas au avec ce il plus se ne sont
@@ -67,10 +71,10 @@ _LETTERS = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]|[^\W\d_]+")  # scripts with
 
 
 class _Block:
-    __slots__ = ("parts", "linked", "bad", "main")
+    __slots__ = ("parts", "linked", "bad", "main", "form")
 
-    def __init__(self, bad: bool, main: bool):
-        self.parts, self.linked, self.bad, self.main = [], 0, bad, main
+    def __init__(self, bad: bool, main: bool, form: bool = False):
+        self.parts, self.linked, self.bad, self.main, self.form = [], 0, bad, main, form
 
 
 def _names_bad(attrs: str, inside: bool) -> bool:
@@ -80,15 +84,20 @@ def _names_bad(attrs: str, inside: bool) -> bool:
             if value.lower() in BAD_ROLES and not (inside and value.lower() == "banner"):
                 return True
             continue
+        if inside:
+            # an article names its subjects, too: a name is bad only if it is made of such words alone
+            if any((own := {p.lower() for p in _PART.findall(name)}) & BAD_NAMES and own <= BAD_NAMES | PLAIN_NAMES for name in value.split()):
+                return True
+            continue
         parts = {p.lower() for p in _PART.findall(value)}
-        if parts & BAD_NAMES or ("header" in parts or "masthead" in parts) and not inside:
+        if parts & BAD_NAMES or "header" in parts or "masthead" in parts:
             return True
     return False
 
 
 def blocks(page: str) -> list[_Block]:
     """Blocks with text, in page order."""
-    stack: list[tuple[str, bool, bool]] = []  # tag, bad, main
+    stack: list[tuple[str, bool, bool, bool]] = []  # tag, bad, main, form
     links = 0
     out: list[_Block] = []
     now = _Block(False, False)
@@ -102,7 +111,7 @@ def blocks(page: str) -> list[_Block]:
 
     def begin() -> _Block:
         out.append(now)
-        return _Block(*(stack[-1][1:] if stack else (False, False)))
+        return _Block(*(stack[-1][1:] if stack else (False, False, False)))
 
     at = 0
     for m in _TOKEN.finditer(page):
@@ -118,9 +127,12 @@ def blocks(page: str) -> list[_Block]:
             now.parts.append(" ")
         if name not in BLOCK:
             bad = not closing and name not in VOID and "=" in attrs and not attrs.endswith("/") and _names_bad(attrs, any(s[2] for s in stack))
+            nested = not closing and name not in VOID and not attrs.endswith("/") and any(s[0] == name for s in stack[-8:])
             if bad:
-                stack.append((name, True, bool(stack and stack[-1][2])))
+                stack.append((name, True, bool(stack and stack[-1][2]), bool(stack and stack[-1][3])))
                 now = begin()
+            elif nested:  # its end tag isn't that of the outer one
+                stack.append((name, *stack[-1][1:]))
             elif closing and any(s[0] == name for s in stack[-8:]):
                 while stack and stack.pop()[0] != name:
                     pass
@@ -133,11 +145,13 @@ def blocks(page: str) -> list[_Block]:
         elif name not in VOID and not attrs.endswith("/"):
             if stack and stack[-1][0] == "p":
                 stack.pop()
-            if name == "body":
+            if name not in ("html", "head"):  # the first part of a body ends a head without an end tag
                 stack = [s for s in stack if s[0] != "head"]
-            up_bad, up_main = stack[-1][1:] if stack else (False, False)
+            up_bad, up_main, up_form = stack[-1][1:] if stack else (False, False, False)
             bad = name in BAD_TAGS or name == "header" and not up_main or bool(attrs) and name != "body" and _names_bad(attrs, up_main)
-            stack.append((name, up_bad or bad, up_main or name in ("article", "main") or "role=\"main\"" in attrs))
+            opens = name in ("article", "main") or "role=\"main\"" in attrs
+            # a form may wrap the whole page: an article inside it is no form
+            stack.append((name, up_bad or bad, up_main or opens, (up_form or name == "form") and not opens))
         now = begin()
     rest = page[at:]
     text(rest if "<" not in rest else re.sub(r"<[a-zA-Z/!?][^>]*\Z", "", rest, flags=re.S))
@@ -155,7 +169,7 @@ def main_text(page: str | None) -> str:
             continue
         words = _LETTERS.findall(line.lower())
         stop = sum(w in STOP_WORDS for w in words)
-        read.append((line, len(words), stop, b.bad or b.linked > MAX_LINK_SHARE * len(line), b.main))
+        read.append((line, len(words), stop, b.bad or b.form and len(words) < LONG_WORDS or not b.main and b.linked > MAX_LINK_SHARE * len(line), b.main))
     covered = sum(r[2] for r in read if not r[3]) >= COVERED * sum(r[1] for r in read if not r[3])
     found, label = [], []
     for line, n, stop, bad, main in read:

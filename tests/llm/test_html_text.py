@@ -19,6 +19,17 @@ CASES = [
     ("<article><p>x</p><script>never closed", "x"),
     ("<article><ul><li>one</li><li>two</li></ul><table><tr><td>c1</td><td>c2</td></tr></table></article>", "one two c1 c2"),
     ("<article><p>tail <a", "tail"),
+    # nested equal tags: the inner end tag doesn't end the advert
+    ('<article><p>a <span class="ad"><span>x</span> buy now</span> b</p></article>', "a b"),
+    ('<article><p>a <span class="ad">x <i><span>y</span></i> z <span>q</span></span> b <span>c</span></p></article>', "a b c"),
+    # subjects of an article are no page parts, page parts inside it are
+    ('<article><section class="social-history"><p>One.</p></section><p id="comment-on-the-war">Two.</p><div class="share-capital">Three.</div></article>', "One. Two. Three."),
+    ('<article><p>One.</p><div class="share-buttons">Share</div><div class="x comments-list">Nice!</div><div id="ad-box-2">Buy</div></article>', "One."),
+    ("<article><p>See <a href=x>the full report of the thing</a>.</p><ul><li><a href=y>A reference</a></li></ul></article>", "See the full report of the thing . A reference".replace(" .", ".")),
+    # no end tag of the head, no body; a form around the whole page
+    ("<html><head><title>t</title><meta charset=x><p>" + LONG + "</p>", LONG),
+    ("<form><div class=top><a href=/>Home</a></div><article><h1>Head</h1><p>Body.</p></article></form>", "Head Body."),
+    ("<form><p>" + LONG + "</p><label>Name</label><input></form>", LONG),
     ("<ARTICLE><P CLASS=lead>Up</P><DIV ROLE=navigation>menu</DIV></ARTICLE>", "Up"),
     ("<article><p>word" + " word" * 30000 + "</p></article>", "word" + " word" * 30000),
 ]
