@@ -55,8 +55,9 @@ consent gdpr notice notices alert popup modal overlay nav navbar navigation menu
 comment comments disqus reply replies respond discussion newsletter subscribe subscription signup login share sharing social related
 recommended recommendations widget widgets toolbar pagination pager copyright disclaimer""".split())
 #: Words that may stand beside one of these in a name that is bad inside an article, too.
-PLAIN_NAMES = frozenset("""area bar bars block bottom box button buttons container content first footer form group header inner item items last left
-link links list outer right row section slot small text top unit wrap wrapper""".split())
+PLAIN_NAMES = frozenset("""area article bar bars block blog bottom box button buttons container content first footer form group guest header inner item items
+last left link links list main outer page post reader readers right row section site slot small text top unit user users visitor wrap
+wrapper""".split())
 STOP_WORDS = frozenset("""the of and to in is that it for on with as was be by this are from at or an have not he his but they which you
 der die und das ist von den des nicht mit dem ein eine sich auf für als im zu auch an es er sie so wie bei oder aus
 le la les de des et est que qui dans en un une du pour par sur pas au avec ce il plus se ne sont

@@ -342,24 +342,33 @@ def links(distinct: DataFrame, radius: int = RADIUS, parts: int | None = None, b
     return arrow_map(rows.repartition(*cell).sortWithinPartitions(*cell), _links_of_cells(radius), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, parts: int | None = None,
-                    block: int = BLOCK) -> DataFrame:
-    """(doc_id, h, fp, component_id) for every row of docs (doc_id, text)."""
+def _placed(docs: DataFrame, shingle: int, radius: int, parts: int | None, block: int) -> DataFrame:
+    """(doc_id, h, fp, root, component_id); root tells components apart, also those without ids."""
     each = materialize(fingerprints(ids_and_text(docs), shingle), "fingerprints")
     distinct = materialize(each.groupBy("fp").agg(F.min("doc_id").alias("d")), "distinct")
     roots = components(links(distinct, radius, parts, block)).select(F.col("a").alias("fp"), "root")
     placed = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = placed.groupBy("root").agg(F.min("d").alias("component_id"))
-    return each.join(placed.select("fp", "root").join(lowest, "root").select("fp", "component_id"), "fp").select("doc_id", "h", "fp", "component_id")
+    return each.join(placed.select("fp", "root").join(lowest, "root"), "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, parts: int | None = None,
+                    block: int = BLOCK) -> DataFrame:
+    """(doc_id, h, fp, component_id) for every row of docs (doc_id, text)."""
+    return _placed(docs, shingle, radius, parts, block).select("doc_id", "h", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Of each component the rows of its smallest doc_id stay (components without any
-    doc_id stay whole); texts that share a doc_id are judged one by one; columns as given."""
-    found = (near_duplicates(docs, shingle, radius).filter("doc_id <> component_id")
+    """Of each component the rows of its smallest doc_id stay, of a component without any doc_id
+    the rows of one text (the least text key); texts that share a doc_id, and rows without one, are
+    judged one by one; equal rows stay or go together; columns as given."""
+    each = materialize(_placed(docs, shingle, radius, None, BLOCK).select("doc_id", "h", "root", "component_id"), "components")
+    alone = each.filter("component_id is null").groupBy("root").agg(F.min("h").alias("least"))
+    found = (each.filter("component_id is not null and not (doc_id <=> component_id)").select("doc_id", "h")
+             .unionByName(each.filter("component_id is null").join(alone, "root").filter("h <> least").select("doc_id", "h"))
              .select(F.col("doc_id").alias("_pc_id"), F.col("h").alias("_pc_h")).distinct())
     key = F.coalesce(F.crc32(F.col("text").cast("string").cast("binary")), F.lit(0))
-    return docs.join(found, (F.col("doc_id").cast("bigint") == F.col("_pc_id")) & (key == F.col("_pc_h")), "left_anti")
+    return docs.join(found, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_pc_id")) & (key == F.col("_pc_h")), "left_anti")
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
