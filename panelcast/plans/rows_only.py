@@ -290,6 +290,8 @@ def q_flat_forecast(spark, d):
     """The regressor's prediction on the last row, repeated for 12 months."""
     idx, n, cols = _features(spark, d)
     _, fits = ml.fit_regressor_folds(idx, first_only=True)
+    if not fits or fits[0] is None:  # too few positive rows for a regressor
+        return spark.createDataFrame([], "step int, prediction double")
     return ml.flat_forecast(fits[0].model, idx.where(F.col("row_idx") == n - 1), 12)
 
 
@@ -298,6 +300,8 @@ def q_model_refit(spark, d):
     """The classifier refitted on every row with the first valid fold's best round."""
     idx, n, _ = _features(spark, d)
     _, fits = ml.fit_classifier_folds(idx, n, N_SPLITS, first_only=True)
+    if not fits:  # no fold has validation positives
+        return spark.createDataFrame([], "prediction double, n long, positives long, rounds int")
     model = ml.fit_classifier_all(idx, max_iter=fits[0].best)
     scored = model.transform(idx).select("flood_event", "prediction")
     return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), F.sum("flood_event").alias("positives"),
