@@ -3,8 +3,9 @@
 P(w | h) = l2(b) c(h w)/c(h) + l1(b) c(w)/N + l0(b)/(V+1), where the bucket b is the binary
 logarithm of the context's count; the weights of each bucket are learned by expectation
 maximisation on held-out counts (training documents with remainder ``DELETED``; the
-estimates under the weights then come from the others).  Final estimates use all training
-documents.  Every word is a context of its own (``contexts`` of ``score_report`` asks for a
+estimates and buckets under the weights then come from the others, and a context without a
+count among them has the word's estimate for the pair's, as in scoring).  Final estimates use
+all training documents.  Every word is a context of its own (``contexts`` of ``score_report`` asks for a
 smaller model, where the words that are not among the most frequent ones share one context).
 
 How it runs at scale:
@@ -63,6 +64,7 @@ FIELDS = {PAIR: [np.uint64, np.uint16], FAR: [np.uint64, np.uint64], COUNT: [np.
 POOLED, FIRST, BUCKETS = 41, 42, 43
 STEP = 20  # bins per power of ten
 NEVER = -10_000  # bin of an estimate of zero
+AS_WORD = -10_001  # bin of a pair's estimate that is the word's: the context has no count
 EM_ROUNDS = 60
 
 
@@ -89,7 +91,14 @@ class Vocabulary:
 
     @property
     def bucket(self) -> np.ndarray:
-        b = bucket_of(self.contexts)
+        return self._buckets(self.contexts)
+
+    @property
+    def bucket_kept(self) -> np.ndarray:
+        return self._buckets(self.contexts_kept)
+
+    def _buckets(self, counts: np.ndarray) -> np.ndarray:
+        b = bucket_of(counts)
         b[RARE], b[START] = POOLED, FIRST
         return b
 
@@ -201,13 +210,14 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[list[
     """(doc_ids, words of each text) of some neighbouring rows of a task."""
     ids, words, size = [], [], 0
     for batch in slices(batches):
-        text = texts(batch)
-        ids += column_of(batch, "doc_id").to_pylist()
-        words += [words_of(t) for t in text]
-        size += sum(len(t) for t in text if t)
-        if size > CHUNK_BYTES or len(ids) > CHUNK_DOCS:
-            yield ids, words
-            ids, words, size = [], [], 0
+        for some in (batch.slice(i, CHUNK_DOCS) for i in range(0, batch.num_rows, CHUNK_DOCS)):  # texts have 16-bit numbers
+            text = texts(some)
+            ids += column_of(some, "doc_id").to_pylist()
+            words += [words_of(t) for t in text]
+            size += sum(len(t) for t in text if t)
+            if size > CHUNK_BYTES or len(ids) > CHUNK_DOCS:
+                yield ids, words
+                ids, words, size = [], [], 0
     if ids:
         yield ids, words
 
@@ -393,17 +403,18 @@ def _read_pairs(vocab, pairs: int):
                 number = np.where(numbered, word, 0).astype(np.int64)
                 if kind == PAIR:
                     context = context.astype(np.int64)
-                    bucket, total = v.bucket[context], v.contexts_kept[context]
+                    bucket, total = v.bucket_kept[context], v.contexts_kept[context]
                     c2 = np.where(numbered, v.kept[number], _look_up(table, word)[1])
                     ready = b > 0
                     hot = numbered & (a + b >= least)
                     code = (number[hot] << 16) | context[hot]
                     yield from out(1, [code, (a + b)[hot], np.zeros(len(code), dtype=np.int64)], np.zeros(len(code), dtype=np.int64))
                 else:
-                    every, total = _look_up(table, context)
-                    bucket, c2, ready = bucket_of(every), v.kept[number], numbered & (b > 0)
-                two = _bin(a / np.maximum(total, 1))
-                yield from out(0, [bucket[ready], two[ready], _bin(c2[ready] / max(v.tokens_kept, 1))], b[ready])
+                    total = _look_up(table, context)[1]
+                    bucket, c2, ready = bucket_of(total), v.kept[number], numbered & (b > 0)
+                two = np.where(total > 0, _bin(a / np.maximum(total, 1)), AS_WORD)
+                one = _bin(c2 / max(v.tokens_kept, 1))
+                yield from out(0, [bucket[ready], np.where(two == AS_WORD, one, two)[ready], one[ready]], b[ready])
                 if kind == FAR:
                     far = ~numbered & (b > 0)
                     yield from out(2, [word[far].view(np.int64), bucket[far], two[far]], b[far])
@@ -414,8 +425,8 @@ def _far_bins(tokens_kept: int):
     """(y, z, k, n) with the word's kept count -> held-out counts by (bucket, bin, bin)."""
     def run(batches):
         for batch in batches:
-            k = np.asarray(column_of(batch, "k"), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([column_of(batch, "y"), column_of(batch, "z"), pa.array(_bin(k / max(tokens_kept, 1))), column_of(batch, "n")],
+            one, two = _bin(np.asarray(column_of(batch, "k")) / max(tokens_kept, 1)), np.asarray(column_of(batch, "z"))
+            yield pa.RecordBatch.from_arrays([column_of(batch, "y"), pa.array(np.where(two == AS_WORD, one, two)), pa.array(one), column_of(batch, "n")],
                                              ["x", "y", "z", "n"])
     return run
 

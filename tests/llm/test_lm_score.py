@@ -3,14 +3,39 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import pyspark.sql.functions as F
 
 from panelcast.llm import lm_score as M
 
 
-def brute(rows, contexts, weights_of=None):
-    """Scores by plain counting; with the operator's own weights formula on exact estimates."""
+def binned(p):
+    return 10 ** (round(20 * math.log10(p)) / 20) if p > 0 else 0.0
+
+
+def plain_em(events, v):
+    """Weights by bucket from (bucket, pair's estimate, word's estimate, occurrences)."""
+    def fit(some):
+        w, n = [1 / 3] * 3, sum(e[3] for e in some)
+        for _ in range(60):
+            share = [0.0, 0.0, 1e-3]
+            for _, two, one, k in some:
+                parts = [w[0] * two, w[1] * one, w[2] / (v + 1)]
+                for j in range(3):
+                    share[j] += k * parts[j] / sum(parts)
+            w = [x / (n + 1e-3) for x in share]
+        return w
+    whole = fit(events) if events else [.4, .4, .2]
+    by = {}
+    for e in events:
+        by.setdefault(e[0], []).append(e)
+    found = {b: fit(some) for b, some in by.items()}
+    return lambda b: found.get(b, whole)
+
+
+def brute(rows, contexts, exact=False):
+    """Scores by plain counting and plain expectation maximisation on estimates in bins of 0.05."""
     tok = [[*(M.words_of(t)), M.END] for _, t in rows]
     fold = [-1 if i is None else zlib.crc32(str(i).encode()) % 5 for i, _ in rows]
     c, pair, before = Counter(), Counter(), Counter()
@@ -23,7 +48,7 @@ def brute(rows, contexts, weights_of=None):
     top = set(sorted((w for w in c if w != M.END), key=lambda w: (-c[w], w))[:contexts])
 
     def ctx(ws):
-        return ["<s>", *(w if w in top else "<rare>" for w in ws[:-1])]
+        return ["<s>", *(w if w in top or contexts >= 10 ** 9 else "<rare>" for w in ws[:-1])]
     for ws, f in zip(tok, fold):
         if f not in (-1, 1):
             pair.update(zip(ctx(ws), ws))
@@ -35,10 +60,14 @@ def brute(rows, contexts, weights_of=None):
                 heldout.update(zip(ctx(ws), ws))
     n, na, v = sum(c.values()), sum(ca.values()), len(c)
 
-    def bucket(h):
-        return 42 if h == "<s>" else 41 if h == "<rare>" else int(math.log2(before[h] + 1))
-    ev = [(bucket(h), M._bin(np.array([paira[h, w] / max(beforea[h], 1)]))[0], M._bin(np.array([ca[w] / max(na, 1)]))[0], k) for (h, w), k in heldout.items()]
-    weights = M.maximise(*np.array(ev, dtype=np.int64).reshape(-1, 4).T, v)
+    def bucket(h, count):
+        return 42 if h == "<s>" else 41 if h == "<rare>" else int(math.log2(count[h] + 1))
+    ev = Counter()
+    for (h, w), k in heldout.items():
+        one = ca[w] / max(na, 1)
+        two = paira[h, w] / beforea[h] if beforea[h] else one
+        ev[bucket(h, beforea), two if exact else binned(two), one if exact else binned(one)] += k
+    weights = plain_em([(*e, k) for e, k in ev.items()], v)
     out = []
     for (i, _), ws, f in zip(rows, tok, fold):
         base = sum(math.log10((c[w] + .5) / (n + .5 * (v + 1))) for w in ws)
@@ -49,7 +78,7 @@ def brute(rows, contexts, weights_of=None):
                 continue
             one = c[w] / n
             two = pair[h, w] / before[h] if before[h] else one
-            l2, l1, l0 = weights[bucket(h)]
+            l2, l1, l0 = weights(bucket(h, before))
             score += math.log10(l2 * two + l1 * one + l0 / (v + 1))
         out.append((i, f == 1, len(ws), sum(c[w] > 0 for w in ws), n, base, score))
     return out
@@ -83,6 +112,15 @@ def test_every_word_is_a_context(make_docs, words, numbered, pairs):
         check(M.score_report(make_docs(rows), part_tokens=500, numbered=numbered).collect(), brute(rows, 10 ** 9))
 
 
+def test_bins_change_little_and_unseen_contexts_back_off(make_docs, words):
+    """Against estimates that are not binned; some contexts occur in the deleted part only."""
+    rows = [(i, " ".join(words(60, i) + [f"own{i}", "the", "of"])) for i in range(150)]
+    got = M.score_report(make_docs(rows)).collect()
+    want = brute(rows, 10 ** 9, exact=True)
+    score = {r["doc_id"]: r["score"] for r in got}
+    assert all(abs(score[w[0]] - w[6]) <= 0.005 * abs(w[6]) for w in want)
+
+
 def test_many_chunks_in_a_task(spark, words):
     rows = [(i, " ".join(words(30, i))) for i in range(40)]
     number = {w.encode(): i for i, w in enumerate(sorted({w for _, t in rows for w in t.split()})[:10], 3)} | {M.END: 2}
@@ -90,6 +128,12 @@ def test_many_chunks_in_a_task(spark, words):
     assert len(word) == 40 * 31 and context[0] == M.START and (np.bincount(doc) == 31).all() and ((word < 1 << 16) | (word >= np.uint64(1 << 63))).all()
 
 
+def test_chunks_hold_less_texts_than_their_numbers_reach():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(150_000), pa.int64()), pa.array(["a"] * 150_000)], ["doc_id", "text"])
+    found = list(M.chunks(iter([batch])))
+    assert max(len(ids) for ids, _ in found) <= 2 * M.CHUNK_DOCS < 1 << 16 and sum(len(ids) for ids, _ in found) == 150_000
+
+
 def test_probabilities_sum_to_one():
     v = M.Vocabulary({}, *(np.array([0, 0, 3, 10, 7]) for _ in range(2)), *(np.array([0, 3, 0, 10, 7]) for _ in range(2)), 20, 20, 3)
     w = np.tile([0.5, 0.3, 0.2], (M.BUCKETS, 1))
