@@ -12,8 +12,11 @@ words, never by hash.
 * Pieces that are frequent in a small sample rank last among minimisers (the sample only
   sets an order; every order gives the same result), so a common line spreads over its
   contexts instead of filling one bucket.  Windows that hold frequent pieces only (a passage
-  that a third of all rows may share) go to ``SALTS`` buckets per minimiser first; each keeps
-  the earliest place of a string, so at most ``SALTS`` places of it meet in the last one.
+  that a third of all rows may share) go to ``SALTS`` buckets per minimiser first.
+* A bucket is held in parts of at most ``PART_BYTES``.  The parts of larger buckets and the
+  salted buckets settle what repeats inside them and hand on each window's earliest place;
+  in a last round these meet by the window's own words, so no minimiser fills a task there
+  and a window has at most one place a part.
 * The strings go in PASSES rounds by minimiser, which halves the disk they need at once.
 * What is removed is written to the shared folder as spans per text, and meets the texts
   in one join on (doc_id, text key).
@@ -22,7 +25,8 @@ Defined results: null or blank texts have no words; a null doc_id orders before
 rows that repeat (same doc_id and text) get equal results, as a window is repeated only if
 its words start at a strictly smaller (doc_id, start); rows with the same doc_id and other
 texts are judged separately; an empty table gives an empty table; extra columns are ignored
-by the query and kept by ``remove_repeats``.
+by the query and kept by ``remove_repeats``.  A very long text is a slice of its own, held
+whole by one task at a time; its strings are dealt like all others.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import LOWEST, arrow_map, docs_table, mix64, materialize, slices, texts, column_of, text_key
@@ -50,13 +54,15 @@ FREQUENT_SHARE = 1 / 20_000
 SAMPLE = 0.02
 #: Buckets that the strings of a frequent minimiser go to before they meet.
 SALTS = 64
+#: Bytes of packed strings and places that a bucket's part holds in memory.
+PART_BYTES = 8 << 20
 
 _MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                                 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 _PLACE = "<qIi"  # doc_id, text key, first word
 _SPAN = np.dtype([("d", "<i8"), ("h", "<u4"), ("s", "<i4"), ("e", "<i4")])  # words s to e of a text are repeated
 _PACKED = "mini long, salt int, packed binary, places binary"
-_FOUND = "d long, h long, s int, e int, mini long, packed binary, places binary"
+_FOUND = "d long, h long, s int, e int, packed binary"  # spans; with packed, a window's earliest place in its part
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -183,9 +189,11 @@ def _emit_super_kmers(k: int, m: int, frequent: np.ndarray, part: int, passes: i
     return run
 
 
-def _spans_of_bucket(rows: list[tuple[bytes, bytes]], k: int, out: list) -> None:
+def _spans_of_bucket(rows: list[tuple[bytes, bytes]], k: int, out: list, firsts: list | None = None) -> None:
     """Compare the windows of one minimiser's packed strings; ``out`` gets the spans of
-    repeated ones as (doc_id, key, first word, end word)."""
+    repeated ones as (doc_id, key, first word, end word), ``firsts`` (if the bucket is only a
+    part) every distinct window with its earliest place as (doc_id, key, first word, end
+    word, window)."""
     first_places = []
     for packed, raw in rows:
         places = sorted(struct.iter_unpack(_PLACE, raw), key=lambda p: (p[0], p[2]))
@@ -194,7 +202,7 @@ def _spans_of_bucket(rows: list[tuple[bytes, bytes]], k: int, out: list) -> None
         same = [p for p in places if (p[0], p[2]) == head]
         out.extend((d, h, s, s + n_words) for d, h, s in places[len(same):])
         first_places.append((head, packed, same))
-    if len(first_places) < 2:
+    if len(first_places) < 2 and firsts is None:
         return
     first_places.sort(key=lambda x: x[0])
     seen: dict[bytes, tuple[int, int]] = {}
@@ -204,48 +212,50 @@ def _spans_of_bucket(rows: list[tuple[bytes, bytes]], k: int, out: list) -> None
         n = len(cut) - k
         for j in range(n):
             at = (doc, start + j)
-            if seen.setdefault(packed[cut[j]:cut[j + k] - 1], at) != at:
+            window = packed[cut[j]:cut[j + k] - 1]
+            if seen.setdefault(window, at) != at:
                 run = j if run < 0 else run
-            elif run >= 0:
+                continue
+            if firsts is not None:
+                firsts.extend((d, h, s + j, s + j + k, window) for d, h, s in same)
+            if run >= 0:
                 out.extend((d, h, s + run, s + j - 1 + k) for d, h, s in same)
                 run = -1
         if run >= 0:
             out.extend((d, h, s + run, s + n - 1 + k) for d, h, s in same)
 
 
-def _find_spans(k: int, last: bool):
-    """Sorted rows of buckets -> spans.  Unless it is the ``last`` round, buckets of frequent
-    minimisers (the top bit) give their strings, each with its earliest place."""
+def _find_spans(k: int, part_bytes: int):
+    """Sorted rows of buckets -> spans.  Buckets of frequent minimisers (the top bit) and
+    those above ``part_bytes`` are judged part by part and give their first windows too."""
     one = struct.calcsize(_PLACE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[bytes, bytes]] = []
-        held_key = None
+        held_key, held_bytes, split = None, 0, False
         out: list = []
-        again: list[tuple[int, bytes, bytes]] = []
+        firsts: list[tuple[int, int, int, int, bytes]] = []
 
         def close():
-            if held_key is not None and held_key[0] < 0 and not last:
-                equal: dict[bytes, list] = {}
-                for packed, raw in held:
-                    equal.setdefault(packed, []).extend(struct.iter_unpack(_PLACE, raw))
-                again.extend((held_key[0], p, _earliest(v, p.count(b" ") + 1, out)) for p, v in equal.items())
-            elif len(held) > 1 or held and len(held[0][1]) > one:
+            if not held:
+                return
+            if split or held_key[0] < 0:
+                _spans_of_bucket(held, k, out, firsts)
+            elif len(held) > 1 or len(held[0][1]) > one:
                 _spans_of_bucket(held, k, out)
 
         def flush(ready=()):
-            """Spans and strings for the last round, each with nulls for the other's columns."""
-            spans = np.concatenate([np.array(out, dtype=_SPAN), *ready])
-            n, more = len(spans), len(again)
-            mini, packed, places = zip(*again) if again else ((), (), ())
+            """Spans (without a window) and first windows."""
+            spans = np.concatenate([np.array(out, dtype=_SPAN), np.array([f[:4] for f in firsts], dtype=_SPAN)])
+            windows = pa.array([None] * len(out) + [f[4] for f in firsts], pa.binary())
+            if len(ready):
+                spans = np.concatenate([spans, *ready])
+                windows = pa.concat_arrays([windows, pa.nulls(len(spans) - len(windows), pa.binary())])
             batch = pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([pa.array(spans[c].astype(t)), pa.nulls(more, pa.from_numpy_dtype(t))])
-                 for c, t in (("d", np.int64), ("h", np.int64), ("s", np.int32), ("e", np.int32))]
-                + [pa.concat_arrays([pa.nulls(n, t), pa.array(c, t)])
-                   for c, t in ((mini, pa.int64()), (packed, pa.binary()), (places, pa.binary()))],
-                ["d", "h", "s", "e", "mini", "packed", "places"])
+                [pa.array(spans[c].astype(t)) for c, t in (("d", np.int64), ("h", np.int64), ("s", np.int32), ("e", np.int32))] + [windows],
+                ["d", "h", "s", "e", "packed"])
             out.clear()
-            again.clear()
+            firsts.clear()
             return batch
 
         for batch in batches:
@@ -261,22 +271,25 @@ def _find_spans(k: int, last: bool):
             cut = np.flatnonzero(np.concatenate(([True], (mini[1:] != mini[:-1]) | (salt[1:] != salt[:-1]))))
             size = np.diff(np.concatenate((cut, [n])))
             many = np.asarray(pc.binary_length(places)) > one
-            work = (size > 1) | np.add.reduceat(many, cut).astype(bool)
-            if not last:
-                work |= mini[cut] < 0
+            work = (size > 1) | np.add.reduceat(many, cut).astype(bool) | (mini[cut] < 0)
             work[0] = work[-1] = True  # may go on in the next batch
             for a, c in zip(cut[work].tolist(), size[work].tolist()):
                 key = (int(mini[a]), int(salt[a]))
-                rows = list(zip(packed.slice(a, c).to_pylist(), places.slice(a, c).to_pylist()))
-                if key == held_key:
-                    held += rows
-                else:
+                if key != held_key:
                     close()
-                    held, held_key = rows, key
-            if len(out) + len(again) > 50_000:
-                yield flush()
+                    held, held_key, held_bytes, split = [], key, 0, False
+                for row in zip(packed.slice(a, c).to_pylist(), places.slice(a, c).to_pylist()):
+                    held.append(row)
+                    held_bytes += len(row[0]) + len(row[1])
+                    if held_bytes > part_bytes:
+                        split = True
+                        close()
+                        held, held_bytes = [], 0
+                        yield flush()
+                if len(out) + len(firsts) > 50_000:
+                    yield flush()
         close()
-        if out or again:
+        if out or firsts:
             yield flush()
     return run
 
@@ -299,7 +312,8 @@ def frequent_pieces(docs: DataFrame, sample: float = SAMPLE, share: float = FREQ
     return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
 
 
-def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = PIECE, passes: int = PASSES, salts: int = SALTS) -> DataFrame:
+def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = PIECE, passes: int = PASSES, salts: int = SALTS,
+                   part_bytes: int = PART_BYTES) -> DataFrame:
     """Spans of words covered by windows that also start earlier: (d, h, spans), one row
     per text with any; d is the doc_id, h the text key.  ``docs``: doc_id, text.  Each pass
     takes its share of the minimisers, so that only that share of the packed strings is on
@@ -309,11 +323,12 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = PIECE, passes: int
     for part in range(passes):
         packed = arrow_map(docs, _emit_super_kmers(k, m, frequent, part, passes, salts), _PACKED)
         found.append(materialize(arrow_map(packed.repartition("mini", "salt").sortWithinPartitions("mini", "salt"),
-                                           _find_spans(k, last=False), _FOUND), "spans"))
+                                           _find_spans(k, part_bytes), _FOUND), "spans"))
     every = reduce(DataFrame.unionByName, found)
-    again = every.filter("packed is not null").select("mini", F.lit(0).alias("salt"), "packed", "places")
-    late = arrow_map(again.repartition("mini").sortWithinPartitions("mini"), _find_spans(k, last=True), _FOUND)
-    spans = every.filter("packed is null").unionByName(late).select("d", "h", "s", "e")
+    # a place earlier than all others of the same window has rank 1, and so have its ties
+    earlier = F.rank().over(Window.partitionBy("packed").orderBy("d", "s"))
+    late = every.filter("packed is not null").withColumn("r", earlier).filter("r > 1")
+    spans = every.filter("packed is null").select("d", "h", "s", "e").unionByName(late.select("d", "h", "s", "e"))
     return spans.groupBy("d", "h").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
 

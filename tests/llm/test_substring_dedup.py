@@ -83,6 +83,38 @@ def test_frequent_minimisers_meet_in_two_rounds(make_docs, words, monkeypatch):
     assert key(tuple(r) for r in got) == key(brute(rows))
 
 
+def test_buckets_in_parts_lose_no_repeat(spark, make_docs, words, monkeypatch):
+    import functools
+    rows = fixture(words)
+    small = functools.partial(S.repeated_spans, part_bytes=500)
+    monkeypatch.setattr(S, "repeated_spans", small)
+    got = S.dedup_report(make_docs(rows, 12)).collect()
+    assert key(tuple(r) for r in got) == key(brute(rows))
+
+
+def test_a_part_holds_no_more_than_its_bytes(words):
+    import struct
+    rows = [(" ".join(words(25, i)).encode(), struct.pack(S._PLACE, i, 1, 0)) for i in range(200)]
+    rows += rows[:50]
+    batch = S.pa.RecordBatch.from_arrays(
+        [S.pa.array([7] * 250, S.pa.int64()), S.pa.array([0] * 250, S.pa.int32()), S.pa.array([r[0] for r in rows], S.pa.binary()),
+         S.pa.array([r[1] for r in rows], S.pa.binary())], ["mini", "salt", "packed", "places"])
+    seen = []
+    own = S._spans_of_bucket
+
+    def watch(part, *rest):
+        seen.append(sum(len(a) + len(b) for a, b in part))
+        return own(part, *rest)
+    S._spans_of_bucket = watch
+    try:
+        out = list(S._find_spans(20, 3000)(iter([batch.slice(0, 90), batch.slice(90)])))
+    finally:
+        S._spans_of_bucket = own
+    assert len(seen) > 5 and max(seen) < 3000 + 300
+    places = [tuple(r.values()) for b in out for r in b.to_pylist() if r["packed"] is not None]
+    assert {p[4] for p in places} == {b" ".join(w.split()[j:j + 20]) for w, _ in rows for j in range(6)}
+
+
 def test_frequent_pieces_are_those_of_common_passages(make_docs, words):
     rows = [(j, " ".join([f"{j}x{i}" for i in range(50)] + words(30, 1))) for j in range(40)]
     got = S.frequent_pieces(make_docs(rows), 1.0, 1 / 200)
