@@ -3,21 +3,26 @@
 P(grade > j | x) = sigmoid(w.x - theta_j): the weights are shared by all ordered thresholds
 theta_0 < theta_1 < ..., and the output is the expected severity sum_j P(grade > j).
 
-* Features: cues, each counted as log2(1 + occurrences), sparse.  A cue is a word or a word
-  beginning of 4 to 8 bytes that is in more toxic training texts than chance allows (binomial
-  tail bound times the number of candidates below ``CUE_P``); of beginnings that contain each
-  other the most significant stays, so a word has one cue at most.  Near copies among the
-  training texts (min-hash) count once.
-* Grades of a labelled text: 0 if its label is not toxic; else 1, or 2 if it holds at least
-  the toxic texts' median number of cue occurrences.  Grades that do not occur get no
-  threshold.
+* Features: every word and every word beginning of 4 to 8 bytes that at least ``MIN_TEXTS``
+  training texts hold, sparse, each valued log2(1 + its occurrences per ``PER`` words):
+  a beginning that clean texts hold now and then and toxic ones often tells them apart by rate.  Features that occur
+  alike in all training texts are one feature, named after their longest beginning.  Near copies among
+  the training texts (min-hash) count once.
+* Weights: at least 0 (a feature can only raise severity, so clean words never outvote toxic
+  ones in a long text), under an absolute penalty of ``STRENGTH`` times the noise that the
+  feature's slope has by chance, times sqrt(2 ln features), plus a small squared one.  The solution is exact: features
+  enter while their slope exceeds their penalty, until none does.  Those with a weight are
+  fitted once more under the squared penalty alone, which undoes the shrinking.
+* Grades come from the labels alone: 0 not toxic, 1 toxic, 2 toxic and of quality 0.  Grades
+  that do not occur get no threshold.
 * Training rows: at most ``TRAIN_ROWS`` labelled documents, those with the smallest hashed
   doc_id, one text each if a doc_id repeats (a documented bound; the model is fitted in numpy
-  on the driver).  Scoring covers whole texts of all rows.
+  on the driver).  Scoring covers whole texts of all rows; very long texts cost in proportion
+  to their words.
 
-Defined results: null or wordless texts have no cue and the severity that the thresholds
-give; labels that repeat or disagree count as toxic if one of them does, null labels are
-ignored; without toxic or without clean training rows the severity is 0 and nothing is
+Defined results: null or wordless texts have no feature and the severity that the thresholds
+give; labels that repeat or disagree count as the highest grade among them, null labels are
+ignored, a null or absent quality is not 0; without toxic or without clean training rows the severity is 0 and nothing is
 rejected; repeated rows give repeated results; extra columns are ignored by the query and
 kept by ``reject_toxic``.
 """
@@ -35,11 +40,18 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import arrow_map, column_of, docs_table, slices, texts
 
 TRAIN_ROWS = 8000
-CUE_P = 0.05
+MIN_TEXTS = 2
+STRENGTH = 0.5
+#: A feature's value counts its occurrences per so many words ...
+PER = 100
+#: ... of a text taken to have so many words more than it has, so that short texts are no outliers.
+SHORT = 20
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Distinct words a task remembers before it starts anew (memory only).
 TABLE_WORDS = 200_000
-L2 = 1e-5
+L2 = 1e-4
+#: Features that enter at once while the penalised fit is solved.
+ENTER = 40
 #: A text goes if a grade above 0 is at least this likely.
 REJECT_AT = 0.5
 
@@ -55,71 +67,93 @@ def _candidates(word: bytes) -> list[bytes]:
     return [b"=" + word, *(word[:n] for n in BEGINNINGS if n <= len(word))]
 
 
+def value(count, words):
+    """A feature's value: its occurrences per ``PER`` words, damped."""
+    return np.log2(1 + PER * count / (words + SHORT))
+
+
 @dataclass
 class Ordinal:
-    """Cue weights (a word with b"=" in front, or a beginning) and ordered thresholds."""
+    """Feature weights (a word with b"=" in front, or a beginning) and ordered thresholds."""
     weights: dict[bytes, float]
     thresholds: list[float]
 
-    def cue(self, word: bytes) -> bytes | None:
-        return next((c for c in _candidates(word) if c in self.weights), None)
-
-    def cues(self, words: list[bytes], table: dict[bytes, bytes | None]) -> Counter:
-        """Cue occurrences; ``table`` remembers each distinct word's cue."""
+    def features(self, words: list[bytes], table: dict[bytes, tuple[bytes, ...]]) -> Counter:
+        """Occurrences of weighted features; ``table`` remembers each distinct word's."""
         try:
-            found = [c for w in words if (c := table[w])]
+            found = [f for w in words if (f := table[w])]
         except KeyError:
             if len(table) > TABLE_WORDS:
                 table.clear()
-            table.update((w, self.cue(w)) for w in set(words) if w not in table)
-            found = [c for w in words if (c := table[w])]
-        return Counter(found)
+            table.update((w, tuple(c for c in _candidates(w) if c in self.weights)) for w in set(words) if w not in table)
+            found = [f for w in words if (f := table[w])]
+        return Counter(c for f in found for c in f)
 
-    def above(self, counts: Counter) -> list[float]:
-        """P(grade > j) for each threshold."""
-        x = sum(self.weights[w] * np.log2(1 + n) for w, n in sorted(counts.items()))
+    def above(self, counts: Counter, words: int) -> list[float]:
+        """P(grade > j) for each threshold, of a text of so many words."""
+        x = sum(self.weights[w] * value(n, words) for w, n in sorted(counts.items()))
         return [float(1 / (1 + np.exp(-np.clip(x - t, -50, 50)))) for t in self.thresholds]
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, l2: float = L2, steps: int = 300) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds that maximise the cumulative-link likelihood: Newton steps on
-    the grouped logistic losses of all thresholds (weights shared)."""
+def fit_ordinal(x: np.ndarray, grade: np.ndarray, penalty: np.ndarray, l2: float = L2, start=None, steps: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of at least 0 and ordered thresholds that maximise the cumulative-link
+    likelihood (grouped logistic losses of all thresholds, weights shared) less the
+    penalties: Newton steps whose quadratic models are solved coordinate by coordinate."""
     levels = np.arange(int(grade.max()))
     n, d, k = len(x), x.shape[1], len(levels)
     target = (grade[:, None] > levels).astype(float)
-    p0 = np.clip(target.mean(axis=0), 1e-4, 1 - 1e-4)
-    w, theta = np.zeros(d), -np.log(p0 / (1 - p0))
+    if start is None:
+        p0 = np.clip(target.mean(axis=0), 1e-6, 1 - 1e-6)
+        start = np.zeros(d), -np.log(p0 / (1 - p0))
+    w, theta = start
 
     def loss(w, theta):
         z = (x @ w)[:, None] - theta
-        return float((np.logaddexp(0, z) - target * z).sum() / n + l2 * (w @ w) / 2)
+        return float((np.logaddexp(0, z) - target * z).sum() / n + l2 * (w @ w) / 2 + penalty @ w)
 
     best = loss(w, theta)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip((x @ w)[:, None] - theta, -50, 50)))
         e, v = (p - target) / n, p * (1 - p) / n
-        g = np.concatenate((x.T @ e.sum(axis=1) + l2 * w, -e.sum(axis=0)))
+        g = np.concatenate((x.T @ e.sum(axis=1) + l2 * w + penalty, -e.sum(axis=0)))
         h = np.zeros((d + k, d + k))
         h[:d, :d] = x.T @ (x * v.sum(axis=1)[:, None]) + l2 * np.eye(d)
         h[:d, d:] = -x.T @ v
         h[d:, :d] = h[:d, d:].T
-        h[d:, d:] = np.diag(v.sum(axis=0) + 1e-9)
-        step = np.linalg.solve(h + 1e-9 * np.eye(d + k), g)
+        h[d:, d:] = np.diag(v.sum(axis=0))
+        h += 1e-9 * np.eye(d + k)
+        step = _bounded_step(h, g, np.concatenate((-w, np.full(k, -np.inf))))
         size = 1.0
-        while size > 1e-6:
-            w2, t2 = w - size * step[:d], theta - size * step[d:]
+        while size > 1e-8:
+            w2, t2 = np.maximum(w + size * step[:d], 0), theta + size * step[d:]
             if (np.diff(t2) >= 0).all() and (now := loss(w2, t2)) <= best:
                 break
             size /= 2
         else:
             break
-        done = best - now < 1e-10
+        done = best - now < 1e-11
         w, theta, best = w2, t2, now
         if done:
             break
     return w, theta
 
 
+def _bounded_step(h: np.ndarray, g: np.ndarray, low: np.ndarray, rounds: int = 200) -> np.ndarray:
+    """The step that minimises g.s + s.h.s/2 with s >= low."""
+    step, slope = np.zeros(len(g)), g.copy()
+    for _ in range(rounds):
+        moved = 0.0
+        for i in range(len(g)):
+            now = max(step[i] - slope[i] / h[i, i], low[i])
+            if (by := now - step[i]) != 0:
+                slope += by * h[i]
+                step[i] = now
+                moved = max(moved, abs(by))
+        if moved < 1e-7:
+            break
+    return step
+
+
 @dataclass
 class Bags:
     """Training texts as (word number, occurrences) arrays; words[i] has number i."""
@@ -157,8 +191,10 @@ def _distinct_texts(bags: Bags) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Ordinal:
     """Fit on a bounded sample of labelled documents."""
+    low = F.coalesce(F.col("quality") == 0, F.lit(False)) if "quality" in labels.columns else F.lit(False)
+    grade = F.when(F.col("toxic") == 0, 0).when(low, 2).otherwise(1)
     chosen = (labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("bigint").alias("_pc_id"))
-              .agg(F.max((F.col("toxic") != 0).cast("int")).alias("_pc_toxic"))
+              .agg(F.max(grade).alias("_pc_label"))
               .orderBy(F.xxhash64("_pc_id"), "_pc_id").limit(rows))
     found = docs.select(F.col("doc_id").cast("bigint").alias("_pc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "_pc_id")
 
@@ -166,69 +202,103 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Ordinal
         for batch in slices(batches):
             bags = [sorted(Counter(words_of(t)).items()) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays(
-                [column_of(batch, "_pc_id"), column_of(batch, "_pc_h"), column_of(batch, "_pc_toxic"), pa.array([[w for w, _ in b] for b in bags], pa.list_(pa.binary())),
-                 pa.array([[n for _, n in b] for b in bags], pa.list_(pa.int32()))], ["id", "h", "toxic", "w", "n"])
-    found = (found.withColumn("_pc_h", F.xxhash64("text")).groupBy("_pc_id", "_pc_toxic")
+                [column_of(batch, "_pc_id"), column_of(batch, "_pc_h"), column_of(batch, "_pc_label"), pa.array([[w for w, _ in b] for b in bags], pa.list_(pa.binary())),
+                 pa.array([[n for _, n in b] for b in bags], pa.list_(pa.int32()))], ["id", "h", "grade", "w", "n"])
+    found = (found.withColumn("_pc_h", F.xxhash64("text")).groupBy("_pc_id", "_pc_label")
              .agg(F.min("_pc_h").alias("_pc_h"), F.min_by("text", "_pc_h").alias("text")))
-    counted = arrow_map(found, count, "id long, h long, toxic int, w array<binary>, n array<int>").toArrow()
+    counted = arrow_map(found, count, "id long, h long, grade int, w array<binary>, n array<int>").toArrow()
     # sorted, so that a retried or reordered task changes nothing
     counted = counted.sort_by([("id", "ascending"), ("h", "ascending")])
-    toxic = np.array(counted["toxic"].to_pylist(), dtype=bool)
-    return fit_bags(Bags.of((r["w"].as_py(), r["n"].as_py()) for b in counted.select(["w", "n"]).to_batches() for r in _rows(b)), toxic)
+    grade = np.array(counted["grade"].to_pylist(), dtype=np.int64)
+    return fit_bags(Bags.of((r["w"].as_py(), r["n"].as_py()) for b in counted.select(["w", "n"]).to_batches() for r in _rows(b)), grade)
 
 
 def _rows(batch: pa.RecordBatch):
     return ({n: batch.column(i)[k] for i, n in enumerate(batch.schema.names)} for k in range(batch.num_rows))
 
 
-def fit_bags(bags: Bags, toxic: np.ndarray) -> Ordinal:
+@dataclass
+class Sparse:
+    """Feature values by text: entry i is ``value[i]`` of feature ``at[i]`` in text ``row[i]``."""
+    names: list[bytes]
+    row: np.ndarray
+    at: np.ndarray
+    value: np.ndarray
+    texts: int
+
+    def slopes(self, e: np.ndarray) -> np.ndarray:
+        """X'e for all features."""
+        return np.bincount(self.at, self.value * e[self.row], len(self.names))
+
+    def dense(self, chosen: np.ndarray) -> np.ndarray:
+        place = np.full(len(self.names), -1)
+        place[chosen] = np.arange(len(chosen))
+        of = place[self.at]
+        mine = of >= 0
+        x = np.zeros((self.texts, len(chosen)))
+        x[self.row[mine], of[mine]] = self.value[mine]
+        return x
+
+
+def sparse_features(bags: Bags) -> Sparse:
+    """All features that at least ``MIN_TEXTS`` texts hold, equal ones once."""
+    number: dict[bytes, int] = {}
+    of_word = [np.array([number.setdefault(c, len(number)) for c in _candidates(w)], dtype=np.int32) for w in bags.words]
+    # columns that are alike have the same sum of random text numbers times occurrences
+    salt = np.random.default_rng(5).integers(1, 2 ** 63, max(len(bags.texts), 1), dtype=np.uint64)
+    mark, held = np.zeros(len(number), dtype=np.uint64), np.zeros(len(number), dtype=np.int64)
+    found = []
+    for (ids, n), s in zip(bags.texts, salt):
+        of, inverse = np.unique(np.concatenate([of_word[i] for i in ids]) if len(ids) else np.zeros(0, dtype=np.int32), return_inverse=True)
+        count = np.bincount(inverse, np.repeat(n, [len(of_word[i]) for i in ids]) if len(ids) else None, len(of)).astype(np.int32)
+        mark[of] += s * count.astype(np.uint64)
+        held[of] += 1
+        found.append((of, count))
+    names = list(number)
+    stays: dict[int, int] = {}
+    for i in np.flatnonzero(held >= MIN_TEXTS).tolist():
+        old = stays.get(int(mark[i]))
+        if old is None or (names[i][:1] != b"=", len(names[i])) > (names[old][:1] != b"=", len(names[old])):
+            stays[int(mark[i])] = i
+    chosen = sorted(stays.values(), key=names.__getitem__)
+    place = np.full(len(number), -1, dtype=np.int32)
+    place[chosen] = np.arange(len(chosen))
+    found = [(place[of][m := place[of] >= 0], count[m]) for of, count in found]
+    words = [n.sum() for _, n in bags.texts]
+    return Sparse([names[i] for i in chosen], np.repeat(np.arange(len(found), dtype=np.int32), [len(of) for of, _ in found]),
+                  np.concatenate([np.zeros(0, dtype=np.int32), *(of for of, _ in found)]),
+                  np.concatenate([np.zeros(0), *(value(c, w) for (_, c), w in zip(found, words))]), len(found))
+
+
+def fit_bags(bags: Bags, grade: np.ndarray, strength: float = STRENGTH) -> Ordinal:
+    """The penalised fit over all features of the training texts with these grades."""
     keep = _distinct_texts(bags)
-    bags, toxic = Bags(bags.words, [t for t, k in zip(bags.texts, keep) if k]), toxic[keep]
-    if not toxic.any() or toxic.all():
+    bags, grade = Bags(bags.words, [t for t, k in zip(bags.texts, keep) if k]), grade[keep]
+    if not grade.any() or grade.all():
         return Ordinal({}, [])
-    cues = choose_cues(bags, toxic)
-    weights, place = dict.fromkeys(cues, 0.0), {c: i for i, c in enumerate(cues)}
-    model = Ordinal(weights, [])
-    cue_of = np.array([place.get(model.cue(w), -1) for w in bags.words] or [-1])
-    counts = np.zeros((len(bags.texts), len(cues)))
-    for row, (ids, n) in zip(counts, bags.texts):
-        at = cue_of[ids]
-        np.add.at(row, at[at >= 0], n[at >= 0])
-    total = counts.sum(axis=1)
-    grade = np.where(toxic, 1 + (total >= max(1, np.median(total[toxic]))), 0)
     grade = np.searchsorted(np.unique(grade), grade)
-    w, theta = fit_ordinal(np.log2(1 + counts), grade)
-    return Ordinal(dict(zip(cues, w.tolist())), theta.tolist())
-
-
-def choose_cues(bags: Bags, toxic: np.ndarray) -> list[bytes]:
-    """Words and beginnings that toxic texts hold more often than chance allows."""
-    number: dict[bytes, int] = {}
-    of_word = [np.array([number.setdefault(c, len(number)) for c in _candidates(w)]) for w in bags.words]
-    held = np.zeros((2, max(len(number), 1)), dtype=np.int64)
-    for (ids, _), t in zip(bags.texts, toxic):
-        if len(ids):
-            held[int(t)][np.unique(np.concatenate([of_word[i] for i in ids]))] += 1
-    names = list(number)
-    base = float(toxic.mean())
-    a, n = held[1][:len(names)].astype(float), held.sum(axis=0)[:len(names)].astype(float)
-    p = np.clip(a / np.maximum(n, 1), 1e-12, 1 - 1e-12)
-    tail = np.where(p > base, n * (p * np.log(p / base) + (1 - p) * np.log((1 - p) / (1 - base))), 0)
-    tests = max(int((a > 0).sum()), 1)
-    found: list[bytes] = []
-    taken: set[bytes] = set()  # chosen cues with all their own beginnings
-    chosen: set[bytes] = set()  # chosen beginnings
-    order = sorted(np.flatnonzero(tail > np.log(tests / CUE_P)).tolist(), key=lambda i: (-round(tail[i], 6), names[i][:1] == b"=", -len(names[i]), names[i]))
-    for i in order:
-        c = names[i]
-        word = c[1:] if c[:1] == b"=" else c
-        inside = [word[:k] for k in BEGINNINGS if k <= len(word)]
-        if chosen.isdisjoint(inside) and c not in taken and word not in taken:
-            found.append(c)
-            taken.update([c, *inside])
-            if c[:1] != b"=":
-                chosen.add(c)
-    return found
+    x = sparse_features(bags)
+    levels = np.arange(int(grade.max()))
+    target = (grade[:, None] > levels).astype(float)
+    n, p0 = len(grade), target.mean(axis=0)
+    square = np.bincount(x.at, x.value ** 2, len(x.names)) / n
+    # deviation of a feature's slope if the grades were independent of it
+    penalty = strength * np.sqrt(2 * np.log(max(len(x.names), 2)) * square / n * ((target - p0).sum(axis=1) ** 2).mean())
+    chosen = np.zeros(0, dtype=np.int64)
+    w, theta = np.zeros(0), -np.log(p0 / (1 - p0))
+    while len(x.names):
+        z = (x.dense(chosen) @ w)[:, None] - theta
+        slope = -x.slopes((1 / (1 + np.exp(-np.clip(z, -50, 50))) - target).sum(axis=1) / n)
+        slope[chosen] = 0
+        excess = slope / penalty
+        more = [i for i in np.argsort(-excess, kind="stable")[:ENTER].tolist() if excess[i] > 1 + 1e-6]
+        if not more:
+            break
+        chosen = np.concatenate((chosen[w > 0], more)).astype(np.int64)
+        w, theta = fit_ordinal(x.dense(chosen), grade, penalty[chosen], start=(np.concatenate((w[w > 0], np.zeros(len(more)))), theta))
+    chosen = np.sort(chosen[w > 0])
+    w, theta = fit_ordinal(x.dense(chosen), grade, np.zeros(len(chosen)))
+    return Ordinal({x.names[i]: float(v) for i, v in zip(chosen.tolist(), w) if v > 0}, theta.tolist())
 
 
 _COLUMNS = "_pc_severity double, _pc_toxic double, _pc_grade int"
@@ -239,11 +309,11 @@ def score(docs: DataFrame, model: Ordinal) -> DataFrame:
     docs = docs.withColumn("text", F.col("text").cast("string"))
 
     def run(batches):
-        table: dict[bytes, bytes | None] = {}
+        table: dict[bytes, tuple[bytes, ...]] = {}
         for batch in slices(batches):
             out = []
             for t in texts(batch):
-                above = model.above(model.cues(words_of(t), table))
+                above = model.above(model.features(words := words_of(t), table), len(words))
                 level = np.diff([-1.0, *(-a for a in above), 0.0])
                 out.append((sum(above), above[0] if above else 0.0, int(np.argmax(level))))
             cols = list(zip(*out))

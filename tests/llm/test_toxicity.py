@@ -13,20 +13,21 @@ def corpus(words, n=600):
         w = words(rng.randint(5, 60), 1000 + i)
         toxic = i % 5 == 0
         if toxic:
-            for _ in range(rng.randint(1, 6)):
+            many = rng.randint(1, 6)
+            for _ in range(many):
                 w.insert(rng.randrange(len(w) + 1), rng.choice(["Vile,", "nasty", "rotten!", "foul"]))
         rows.append((i, " ".join(w)))
         if i % 2 == 0:
-            labels.append((i, int(toxic)))
+            labels.append((i, int(toxic), int(not toxic or many < 4)))
     return rows, labels
 
 
 def test_severity_is_ordered_and_held_out_rows_are_caught(spark, make_docs, words):
     rows, labels = corpus(words)
     rows += [(None, None), (9001, ""), (9002, "\n"), (9003, "vile"), (9003, "vile"), (9004, "vile nasty rotten foul " * 40), (None, "foul")]
-    labels += [(0, 1), (0, 0), (2, None), (None, 1), (77777, 1)]
+    labels += [(0, 1, None), (0, 0, 0), (2, None, 0), (None, 1, 1), (77777, 1, 1)]
     docs = make_docs(rows).withColumn("toxic", F.lit(1)).withColumn("w", F.lit("x"))
-    table = spark.createDataFrame(labels, "doc_id long, toxic int").withColumn("quality", F.lit(1))
+    table = spark.createDataFrame(labels, "doc_id long, toxic int, quality int").withColumn("n", F.lit(1))
     got = T.severity_report(docs, table).collect()
     assert len(got) == len(rows)
     held = [r for r in got if r["doc_id"] is not None and r["doc_id"] < 600 and r["doc_id"] % 2]
@@ -40,27 +41,92 @@ def test_severity_is_ordered_and_held_out_rows_are_caught(spark, make_docs, word
     assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(str(r["doc_id"]) for r in got if not r["rejected"])
 
 
-def test_cues_are_beginnings_that_generalise():
-    rng = random.Random(4)
-    bags, toxic = [], []
+def planted(seed=4):
+    rng = random.Random(seed)
+    bags, grade = [], []
     for i in range(400):
         words = [f"w{rng.randint(0, 200)}".encode() for _ in range(30)]
         if i % 4 == 0:
             words += [b"grobian" + bytes([97 + rng.randint(0, 25)]) for _ in range(2)]
-        bags.append(T.Counter(words).items())
-        toxic.append(i % 4 == 0)
-    cues = T.choose_cues(T.Bags.of(zip(*b) for b in bags), np.array(toxic))
-    assert cues == [b"grobian"]
-    model = T.Ordinal(dict.fromkeys(cues, 1.0), [0.0])
+        bags.append(sorted(T.Counter(words).items()))
+        grade.append(int(i % 4 == 0) + int(i % 8 == 0))
+    return bags, np.array(grade)
+
+
+def test_features_are_beginnings_that_generalise():
+    bags, grade = planted()
+    model = T.fit_bags(T.Bags.of(zip(*b) for b in bags), grade)
+    assert max(model.weights, key=model.weights.get) == b"grobian" and len(model.thresholds) == 2
     table = {}
-    assert model.cues([b"grobianen", b"grob", b"x", b"grobianen"], table) == {b"grobian": 2}
+    found = model.features([b"grobianen", b"grob", b"x", b"grobianen"], table)
+    assert found == {b"grobian": 2} and table[b"x"] == ()
+    assert model.above(found, 4)[0] > 0.5 > model.above(T.Counter(), 4)[0]
+
+
+def test_sparse_features_equal_a_plain_count():
+    bags, _ = planted()
+    got = T.sparse_features(T.Bags.of(zip(*b) for b in bags))
+    plain = []
+    for b in bags:
+        counts = T.Counter()
+        for w, n in b:
+            for c in {b"=" + w, *(w[:k] for k in range(4, 9) if len(w) >= k)}:
+                counts[c] += n
+        plain.append(counts)
+    columns = {}
+    for c in set().union(*plain):
+        columns.setdefault(tuple(p[c] for p in plain), set()).add(c)
+    columns = {k: v for k, v in columns.items() if sum(n > 0 for n in k) >= 2}
+    assert len(got.names) == len(columns)
+    x = got.dense(np.arange(len(got.names)))
+    sizes = [sum(n for _, n in b) for b in bags]
+    for j, name in enumerate(got.names):
+        counts = tuple(p[name] for p in plain)
+        assert name in columns[counts]
+        assert np.allclose(x[:, j], [np.log2(1 + 100 * n / (s + 20)) for n, s in zip(counts, sizes)])
+
+
+def test_no_feature_outside_the_fit_exceeds_its_penalty():
+    """The penalised optimum, by its conditions: checked on a dense problem of 12 features."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 3, (300, 12)).astype(float)
+    grade = (x[:, 0] + x[:, 1] + rng.logistic(size=300) > 3).astype(int) + (x[:, 0] + rng.logistic(size=300) > 4)
+    grade = np.minimum(grade, 2)
+    pen = np.full(12, 0.03)
+    w, theta = T.fit_ordinal(x, grade, pen, l2=1e-4)
+    e = 1 / (1 + np.exp(-((x @ w)[:, None] - theta))) - (grade[:, None] > np.arange(2))
+    slope = x.T @ e.sum(axis=1) / 300 + 1e-4 * w + pen
+    assert (w >= 0).all() and (w == 0).any() and (w > 0).any()
+    assert np.allclose(slope[w > 0], 0, atol=1e-5) and (slope[w == 0] > -1e-5).all()
+
+
+def test_scores_equal_a_plain_scorer(spark, make_docs, words):
+    import math
+    rows, labels = corpus(words, 200)
+    rows += [(None, None), (9001, ""), (9002, "Vile VILE nasty-rotten foul\u00e9 foul" * 3), (9003, "vile " * 5000)]
+    docs, table = make_docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int, quality int")
+    model = T.train(docs, table)
+    assert model.weights
+    want = []
+    for i, text in rows:
+        found = [] if text is None else "".join(c.lower() if "A" <= c <= "Z" else c if "a" <= c <= "z" or ord(c) > 127 else " " for c in text).split(" ")
+        found = [w.encode() for w in found if w]
+        x = 0.0
+        for f, weight in model.weights.items():
+            n = sum(w == f[1:] if f[:1] == b"=" else len(f) <= len(w) and w.startswith(f) for w in found)
+            x += weight * math.log2(1 + 100 * n / (len(found) + 20))
+        p = [1 / (1 + math.exp(min(max(t - x, -50), 50))) for t in model.thresholds]
+        level = [1 - p[0], *(a - b for a, b in zip(p, p[1:])), p[-1]]
+        want.append((str(i), round(sum(p), 6), round(p[0], 6), level.index(max(level)), p[0] >= 0.5))
+    got = [(str(r["doc_id"]), round(r["severity"], 6), round(r["p_toxic"], 6), r["grade"], r["rejected"]) for r in T.severity_report(docs, table).collect()]
+    assert sorted(got) == sorted(want)
 
 
 def test_fit_matches_a_fine_search():
     rng = np.random.default_rng(2)
     x = rng.integers(0, 4, (500, 1)).astype(float)
     grade = (x[:, 0] + rng.logistic(size=500) > 1).astype(int) + (x[:, 0] + rng.logistic(size=500) > 4)
-    w, theta = T.fit_ordinal(x, grade, l2=0.0)
+    w, theta = T.fit_ordinal(x, grade, np.zeros(1), l2=0.0)
     assert theta[0] < theta[1]
 
     def loss(w, t):
@@ -82,5 +148,5 @@ def test_no_labels_or_one_class(spark, make_docs):
 
 def test_one_text_of_a_repeated_id_is_learned_from(spark, make_docs, words):
     rows, labels = corpus(words, 120)
-    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    table = spark.createDataFrame(labels, "doc_id long, toxic int, quality int")
     assert T.train(make_docs(rows + rows[:1] * 50), table) == T.train(make_docs(rows), table)
