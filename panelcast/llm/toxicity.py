@@ -29,6 +29,7 @@ kept by ``reject_toxic``.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -210,7 +211,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Ordinal
     # sorted, so that a retried or reordered task changes nothing
     counted = counted.sort_by([("id", "ascending"), ("h", "ascending")])
     grade = np.array(counted["grade"].to_pylist(), dtype=np.int64)
-    return fit_bags(Bags.of((r["w"].as_py(), r["n"].as_py()) for b in counted.select(["w", "n"]).to_batches() for r in _rows(b)), grade)
+    bags = [Bags.of((r["w"].as_py(), r["n"].as_py()) for b in counted.select(["w", "n"]).to_batches() for r in _rows(b))]
+    del counted
+    return fit_bags(bags.pop(), grade)
 
 
 def _rows(batch: pa.RecordBatch):
@@ -228,29 +231,43 @@ class Sparse:
 
     def slopes(self, e: np.ndarray) -> np.ndarray:
         """X'e for all features."""
-        return np.bincount(self.at, self.value * e[self.row], len(self.names))
+        return sum((np.bincount(self.at[b], self.value[b] * e[self.row[b]], len(self.names)) for b in self._blocks()), np.zeros(len(self.names)))
+
+    def squares(self) -> np.ndarray:
+        return sum((np.bincount(self.at[b], self.value[b].astype(float) ** 2, len(self.names)) for b in self._blocks()), np.zeros(len(self.names)))
+
+    def _blocks(self, size: int = 1 << 18):
+        """Slices of the entries, so that what is computed from them stays small."""
+        return [slice(i, i + size) for i in range(0, len(self.at), size)]
 
     def dense(self, chosen: np.ndarray) -> np.ndarray:
-        place = np.full(len(self.names), -1)
+        place = np.full(len(self.names), -1, dtype=np.int32)
         place[chosen] = np.arange(len(chosen))
-        of = place[self.at]
-        mine = of >= 0
         x = np.zeros((self.texts, len(chosen)))
-        x[self.row[mine], of[mine]] = self.value[mine]
+        for b in self._blocks():
+            of = place[self.at[b]]
+            mine = of >= 0
+            x[self.row[b][mine], of[mine]] = self.value[b][mine]
         return x
 
 
 def sparse_features(bags: Bags) -> Sparse:
     """All features that at least ``MIN_TEXTS`` texts hold, equal ones once."""
     number: dict[bytes, int] = {}
-    of_word = [np.array([number.setdefault(c, len(number)) for c in _candidates(w)], dtype=np.int32) for w in bags.words]
+    flat, cut = array("i"), array("i", [0])
+    for w in bags.words:
+        flat.extend([number.setdefault(c, len(number)) for c in _candidates(w)])
+        cut.append(len(flat))
+    flat, cut = np.array(flat, dtype=np.int32), np.array(cut, dtype=np.int64)
     # columns that are alike have the same sum of random text numbers times occurrences
     salt = np.random.default_rng(5).integers(1, 2 ** 63, max(len(bags.texts), 1), dtype=np.uint64)
     mark, held = np.zeros(len(number), dtype=np.uint64), np.zeros(len(number), dtype=np.int64)
     found = []
     for (ids, n), s in zip(bags.texts, salt):
-        of, inverse = np.unique(np.concatenate([of_word[i] for i in ids]) if len(ids) else np.zeros(0, dtype=np.int32), return_inverse=True)
-        count = np.bincount(inverse, np.repeat(n, [len(of_word[i]) for i in ids]) if len(ids) else None, len(of)).astype(np.int32)
+        many = cut[ids + 1] - cut[ids]
+        place = np.repeat(cut[ids] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        of, inverse = np.unique(flat[place], return_inverse=True)
+        count = np.bincount(inverse, np.repeat(n, many), len(of)).astype(np.int32)
         mark[of] += s * count.astype(np.uint64)
         held[of] += 1
         found.append((of, count))
@@ -263,11 +280,12 @@ def sparse_features(bags: Bags) -> Sparse:
     chosen = sorted(stays.values(), key=names.__getitem__)
     place = np.full(len(number), -1, dtype=np.int32)
     place[chosen] = np.arange(len(chosen))
-    found = [(place[of][m := place[of] >= 0], count[m]) for of, count in found]
-    words = [n.sum() for _, n in bags.texts]
+    for i, (of, count) in enumerate(found):
+        at = place[of]
+        found[i] = at[at >= 0], value(count[at >= 0], bags.texts[i][1].sum()).astype(np.float32)
     return Sparse([names[i] for i in chosen], np.repeat(np.arange(len(found), dtype=np.int32), [len(of) for of, _ in found]),
                   np.concatenate([np.zeros(0, dtype=np.int32), *(of for of, _ in found)]),
-                  np.concatenate([np.zeros(0), *(value(c, w) for (_, c), w in zip(found, words))]), len(found))
+                  np.concatenate([np.zeros(0, dtype=np.float32), *(v for _, v in found)]), len(found))
 
 
 def fit_bags(bags: Bags, grade: np.ndarray, strength: float = STRENGTH) -> Ordinal:
@@ -278,10 +296,11 @@ def fit_bags(bags: Bags, grade: np.ndarray, strength: float = STRENGTH) -> Ordin
         return Ordinal({}, [])
     grade = np.searchsorted(np.unique(grade), grade)
     x = sparse_features(bags)
+    del bags
     levels = np.arange(int(grade.max()))
     target = (grade[:, None] > levels).astype(float)
     n, p0 = len(grade), target.mean(axis=0)
-    square = np.bincount(x.at, x.value ** 2, len(x.names)) / n
+    square = x.squares() / n
     # deviation of a feature's slope if the grades were independent of it
     penalty = strength * np.sqrt(2 * np.log(max(len(x.names), 2)) * square / n * ((target - p0).sum(axis=1) ** 2).mean())
     chosen = np.zeros(0, dtype=np.int64)
