@@ -2,13 +2,16 @@
 
 Plan shape at scale: events are exploded and reduced to one row per
 (entity, year, month) with a partial (map-side) aggregate; the dense calendar is a
-generator per entity (no join), and the upsert is a union of calendar and event
+generator per entity (no join; entities are dealt so that a task makes at most about
+``CALENDAR_ROWS`` rows, which its map-side aggregate holds), and the upsert is a union of calendar and event
 cells followed by one aggregate - a single shuffle on the cell key.  Entity-level
 attributes are joined once at entity grain, then attached to the panel.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -18,6 +21,9 @@ from panelcast.functions.text import coerce_numeric, split_list, strip
 from panelcast.operators.names import canonical_name, in_domain
 from panelcast.spec import PanelSpec
 
+#: Calendar rows that one task makes.
+CALENDAR_ROWS = 250_000
+
 
 def filter_region(events: DataFrame, pattern: str | None, col: str = "state") -> DataFrame:
     """Case-sensitive regex containment on the region column; null never matches."""
@@ -45,8 +51,14 @@ def event_cells(events: DataFrame, domain: DataFrame, spec: PanelSpec) -> DataFr
     return x.select(spec.entity_col, "year", "month", spec.seq_col, *spec.measures)
 
 
-def calendar(entities: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Every entity x every month from ``spec.start`` to ``spec.end`` (a generator)."""
+def calendar(entities: DataFrame, spec: PanelSpec, task_rows: int = CALENDAR_ROWS) -> DataFrame:
+    """Every entity x every month from ``spec.start`` to ``spec.end`` (a generator).  Few input
+    partitions hold many entities, so these are dealt to tasks by their number first."""
+    first, last = (dt.date.fromisoformat(str(x)[:10]) for x in (spec.start, spec.end))
+    per_task = max(1, task_rows // max(1, 12 * (last.year - first.year) + last.month - first.month + 1))
+    parts = -(-entities.count() // per_task)
+    if parts > 1:
+        entities = entities.repartition(parts, spec.entity_col)
     months = F.explode(F.sequence(F.to_date(F.lit(spec.start)), F.to_date(F.lit(spec.end)),
                                   F.expr("INTERVAL 1 MONTH")))
     return (entities.select(spec.entity_col, months.alias("date"))

@@ -29,6 +29,9 @@ ANALOGUE_ALIAS = {"Supplier_7": "Supplier_Seven", "Supplier_13": "Supplier_Thirt
 IMPACT_REGION_PATTERN = "A"
 
 
+#: Line items that one task joins to the event orders.
+LINES_PER_TASK = 1_000_000
+
 #: The tables that the panel is made from.
 PANEL_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 
@@ -42,6 +45,14 @@ def place_label(key: Column) -> Column:
     return F.concat(F.lit("SUPPLIER_"), key.cast("string"))
 
 
+def _dealt(keys: DataFrame, key: str, rows: int, task_rows: int = LINES_PER_TASK) -> DataFrame:
+    """Join keys shuffled to as many tasks as the ``rows`` they meet ask for, where that is more than
+    the session's shuffle partitions (the rows follow the keys): a fixed number of tasks would hold
+    ever more rows each."""
+    parts = -(-rows // task_rows)
+    return keys.repartition(parts, key) if parts > int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")) else keys
+
+
 def event_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event: event_id, event_seq, start_date, date_text, state,
     districts (comma list or null), severity, fatalities, displaced, duration."""
@@ -57,8 +68,9 @@ def event_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select("c_custkey", F.col("r_name").alias("state")))
     # Line items of event orders only (semi join before aggregation); an order has
     # at most a handful of lines, so the per-order set stays small.
-    lines = (read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
-             .join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi"))
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    keys = _dealt(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", lines.count())
+    lines = lines.join(keys, "l_orderkey", "left_semi")
     places = (lines.groupBy("l_orderkey")
               .agg(F.array_join(F.array_sort(F.collect_set(place_label(F.col("l_suppkey")))), ", ")
                    .alias("districts"),

@@ -122,3 +122,26 @@ def test_leak_free_options(spark, domain):
     assert [r.pop_x_flood_severity for r in cur[:3]] == [4.0, 6.0, 0.0]
     assert [r.pop_x_flood_severity for r in lag[:3]] == [0.0, 4.0, 6.0]
     assert cur[0].flood_exposed_pop == 0.0
+
+
+def test_calendar_tasks_are_bounded(spark):
+    """Entities of one partition are dealt out by their number, so no task makes the whole calendar."""
+    names = spark.range(50).select(F.concat(F.lit("E"), F.col("id").cast("string")).alias("entity")).coalesce(1)
+    cal = px.calendar(names, SPEC, task_rows=60)
+    per_task = [r["n"] for r in cal.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert cal.rdd.getNumPartitions() == 10 and max(per_task) < 300 and sum(per_task) == 600
+    assert cal.exceptAll(px.calendar(names, SPEC)).count() == 0
+
+
+def test_lines_are_dealt_by_their_number(spark):
+    """Rows follow the join keys to as many tasks as the rows ask for, and none is lost."""
+    from panelcast.sources.tables import _dealt
+    lines = spark.range(1000).select((F.col("id") % 300).alias("k"), "id")
+    keys = spark.range(0, 600, 2).select(F.col("id").alias("k"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions")) * 5
+    dealt = _dealt(keys, "k", 1000, task_rows=1000 // parts)
+    assert dealt.rdd.getNumPartitions() == -(-1000 // (1000 // parts))
+    assert _dealt(keys, "k", 1000).rdd.getNumPartitions() == keys.rdd.getNumPartitions()
+    got = lines.join(dealt.hint("merge"), "k", "left_semi")
+    assert got.rdd.getNumPartitions() == dealt.rdd.getNumPartitions()
+    assert sorted(r.id for r in got.collect()) == [i for i in range(1000) if i % 300 % 2 == 0]
